@@ -9,65 +9,63 @@ from pyspark.sql import functions as F
 
 from sensormill.functions.text import format_number
 from sensormill.functions.timing import ns_to_ms
-from sensormill.operators.joins import join_null_safe
-from sensormill.operators.ordered import BIN, bin_of, quantiles, scan_bins
+from sensormill.operators.ordered import BIN, bin_of, distribution, scan_bins
 
 MINUTE_NS = 60_000_000_000
+SWEEP, FRAME = 1, 2
 
 
-def camera_list(logs: DataFrame, cameras: Sequence[str]) -> DataFrame:
-    """Every log with every expected camera, so that a camera without frames still has its row."""
-    return logs.select("log_id", F.explode(F.array(*(F.lit(c) for c in cameras))).alias("sensor"))
+def _for_each_camera(rows: DataFrame, cameras: DataFrame | Sequence[str]) -> DataFrame:
+    """Rows once per camera: of a fixed list, or of the cameras (log_id, sensor) their log has."""
+    if isinstance(cameras, DataFrame):
+        return rows.join(cameras.select("log_id", "sensor"), "log_id")
+    return rows.withColumn("sensor", F.explode(F.array(*(F.lit(c) for c in cameras))))
 
 
 def nearest_frames(
-    sweeps: DataFrame, frames: DataFrame, cameras: DataFrame, bin_ns: int = MINUTE_NS
+    sweeps: DataFrame, frames: DataFrame, cameras: DataFrame | Sequence[str], bin_ns: int = MINUTE_NS
 ) -> DataFrame:
     """The nearest frame of every camera for every distinct sweep (log_id, timestamp_ns).
 
     Sweeps and frames are merged on one time line per camera and cut into bins. Inside a bin the last frame at or
-    before and the first at or after a sweep are running maxima and minima; frames of other bins arrive through the
-    scanned bin summaries. The work is linear in rows plus one sort, however long a log is.
+    before and the first at or after a sweep are running maxima and minima; of other bins it borrows the last frame
+    before and the first after. The work is linear in rows plus one sort, however long a log is. A camera without
+    frames keeps its rows, with NULL for the frame.
     """
     key = ["log_id", "sensor"]
-    targets = sweeps.select("log_id", "timestamp_ns").distinct().join(cameras.select(*key), "log_id")
-    line = targets.select(*key, "timestamp_ns", F.lit(1).alias("_s"), F.lit(0).alias("_f")).unionByName(
-        frames.select(*key, "timestamp_ns", F.lit(0).alias("_s"), F.lit(1).alias("_f"))
+    targets = _for_each_camera(sweeps.select("log_id", "timestamp_ns"), cameras)
+    line = targets.select(*key, "timestamp_ns", F.lit(SWEEP).alias("_kind")).unionByName(
+        frames.select(*key, "timestamp_ns", F.lit(FRAME).alias("_kind"))
     )
-    points = (
-        line.groupBy(*key, bin_of(F.col("timestamp_ns"), bin_ns).alias(BIN), "timestamp_ns")
-        .agg(F.max("_s").alias("_s"), F.max("_f").alias("_f"))
-        .withColumn("_frame", F.when(F.col("_f") == 1, F.col("timestamp_ns")))
+    # One column for both marks: whoever reads the merged line reads the same columns, so its shuffle is done once.
+    points = line.groupBy(*key, bin_of(F.col("timestamp_ns"), bin_ns).alias(BIN), "timestamp_ns").agg(
+        F.bit_or("_kind").alias("_kind")
+    )
+    frame = F.when(F.col("_kind").bitwiseAND(FRAME) != 0, F.col("timestamp_ns"))
+    bins = points.groupBy(*key, BIN).agg(F.max(frame).alias("_last"), F.min(frame).alias("_first"))
+    outside = scan_bins(bins, key, {"_before": ("_last", "max", "before"), "_after": ("_first", "min", "after")})
+    borrowed = outside.select(
+        *key, BIN, F.explode(F.array_compact(F.array("_before", "_after"))).alias("timestamp_ns"), F.lit(FRAME).alias("_kind")
     )
     inside = Window.partitionBy(*key, BIN)
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    near = points.select(
-        *key,
-        BIN,
-        "timestamp_ns",
-        "_s",
-        F.max("_frame").over(inside.orderBy("timestamp_ns").rowsBetween(*so_far)).alias("_before"),
-        F.min("_frame").over(inside.orderBy(F.desc("timestamp_ns")).rowsBetween(*so_far)).alias("_after"),
-    ).where("_s = 1")
-    bins = points.groupBy(*key, BIN).agg(F.max("_frame").alias("_last"), F.min("_frame").alias("_first"))
-    far = scan_bins(
-        bins, key, {"_far_before": ("_last", "max", "before"), "_far_after": ("_first", "min", "after")}
-    )
-    before = F.coalesce("_before", "_far_before")
-    after = F.coalesce("_after", "_far_after")
-    sweep = F.col("timestamp_ns")
-    chosen = F.when(before.isNull(), after).when(after.isNull(), before).when(
-        after - sweep < sweep - before, after
-    ).otherwise(before)
+    before, after, sweep = F.col("_before"), F.col("_after"), F.col("timestamp_ns")
+    chosen = F.when(before.isNull(), after).when(after - sweep < sweep - before, after).otherwise(before)
     return (
-        join_null_safe(near, far, [*key, BIN], "left")
+        points.unionByName(borrowed)
+        .withColumn("_frame", frame)
+        .withColumn("_before", F.max("_frame").over(inside.orderBy("timestamp_ns").rowsBetween(*so_far)))
+        .withColumn("_after", F.min("_frame").over(inside.orderBy(F.desc("timestamp_ns")).rowsBetween(*so_far)))
+        .where(F.col("_kind").bitwiseAND(SWEEP) != 0)
         .select(*key, sweep.alias("sweep_ns"), chosen.alias("frame_ns"))
         .withColumn("skew_ns", F.col("frame_ns") - F.col("sweep_ns"))
         .withColumn("skew_ms", ns_to_ms(F.col("skew_ns")))
     )
 
 
-def nearest_to_one_sweep(sweeps: DataFrame, frames: DataFrame, cameras: DataFrame) -> DataFrame:
+def nearest_to_one_sweep(
+    sweeps: DataFrame, frames: DataFrame, cameras: DataFrame | Sequence[str]
+) -> DataFrame:
     """The same for exactly one sweep per log: one combining aggregation, no sort."""
     key = ["log_id", "sensor"]
     target = sweeps.select("log_id", F.col("timestamp_ns").alias("sweep_ns"))
@@ -79,8 +77,7 @@ def nearest_to_one_sweep(sweeps: DataFrame, frames: DataFrame, cameras: DataFram
     )
     skew = F.col("frame_ns") - F.col("sweep_ns")
     return (
-        cameras.select(*key)
-        .join(target, "log_id")
+        _for_each_camera(target, cameras)
         .join(best, key, "left")
         .select(*key, "sweep_ns", "frame_ns", skew.alias("skew_ns"), ns_to_ms(skew).alias("skew_ms"))
     )
@@ -90,14 +87,15 @@ def skew_distribution(
     skews: DataFrame, by: Sequence[str] = ("log_id", "sensor"), percents: Sequence[int] = (5, 50, 95), bin_ns: int = 1_000_000
 ) -> DataFrame:
     """Minimum, exact percentiles, maximum and sweeps without any frame, per camera."""
-    spread = skews.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_sweeps"),
-        F.sum(F.when(F.col("skew_ns").isNull(), 1).otherwise(0)).alias("n_without_frame"),
-        F.min("skew_ns").alias("min_ns"),
-        F.max("skew_ns").alias("max_ns"),
+    spread = distribution(skews, by, "skew_ns", percents, bin_ns)
+    return spread.select(
+        *by,
+        (F.col("n") + F.col("n_null")).alias("n_sweeps"),
+        F.col("n_null").alias("n_without_frame"),
+        F.col("min").alias("min_ns"),
+        F.col("max").alias("max_ns"),
+        *(f"p{p}" for p in percents),
     )
-    ranks = quantiles(skews, by, "skew_ns", percents, bin_ns).drop("n")
-    return join_null_safe(spread, ranks, by, "left")
 
 
 def skew_report(skews: DataFrame) -> DataFrame:

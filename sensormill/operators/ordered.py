@@ -1,18 +1,20 @@
 """Ordered computations over groups of any size.
 
-A window partitioned by log alone puts a whole log into one task. Here time is cut into bins: rows meet only the rows
-of their own bin, each bin leaves a summary of a few values, and the summaries are scanned in two further levels
-(bins inside a block of bins, then blocks). A log holding a third of all rows is spread over its bins.
+A window partitioned by log alone puts a whole log into one task. Here the order is cut into bins, and every bin borrows
+what it needs from the others as one or two extra rows: the last row before it, the first after it, or the count of all
+before it. With these rows in place an ordinary window inside the bin gives the answer of a window over the whole group,
+and the extra rows are dropped. What a bin borrows comes from a scan of bin summaries, cut once more into blocks of
+bins. A log that holds a third of all rows is thus spread over its bins, and NULL keys group as in any grouping.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensormill.operators.joins import join_null_safe
+from sensormill.workspace import materialise
 
 BIN = "_bin"
 BLOCK = "_block"
@@ -26,53 +28,51 @@ def bin_of(value: Column, width: int | float) -> Column:
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
-def _combine(fold: str, a: Column, b: Column) -> Column:
-    if fold == "sum":
-        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-    return F.greatest(a, b) if fold == "max" else F.least(a, b)
-
-
-def scan_bins(bins: DataFrame, keys: Sequence[str], scans: dict[str, tuple[str, str, str]]) -> DataFrame:
+def scan_bins(
+    bins: DataFrame, keys: Sequence[str], scans: Mapping[str, tuple[str, str, str]], keep: Sequence[str] = ()
+) -> DataFrame:
     """Fold the summaries of all earlier or all later bins of the group, excluding the bin itself.
 
-    ``bins`` has ``keys``, ``_bin`` and summary columns. ``scans`` maps a new column to (summary column, fold, side)
-    with fold ``max``/``min``/``sum`` and side ``before``/``after``. Returns keys, ``_bin`` and the new columns.
+    ``bins`` has one row per ``keys`` and ``_bin`` with summary columns. ``scans`` maps a new column to (summary column,
+    fold, side) with fold ``max``/``min``/``sum`` and side ``before``/``after``. Returns keys, ``_bin``, the columns to
+    ``keep`` and the new ones; a sum over nothing is 0, a maximum or minimum over nothing NULL.
     """
     blocked = bins.withColumn(BLOCK, bin_of(F.col(BIN), BINS_PER_BLOCK))
 
-    def reach(partition: list[str], order: str, side: str):
+    def others(partition: list[str], order: str, side: str):
         direction = F.col(order).asc() if side == "before" else F.col(order).desc()
         return Window.partitionBy(*partition).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
 
     blocks = blocked.groupBy(*keys, BLOCK).agg(
-        *(_FOLD[fold](source).alias(f"_whole_{name}") for name, (source, fold, _) in scans.items())
+        *(_FOLD[fold](source).alias(name) for name, (source, fold, _) in scans.items())
     )
-    blocks = blocks.select(
+    borrowed = blocks.select(
         *keys,
         BLOCK,
-        *(
-            _FOLD[fold](f"_whole_{name}").over(reach([*keys], BLOCK, side)).alias(f"_outer_{name}")
-            for name, (_, fold, side) in scans.items()
-        ),
+        *(_FOLD[fold](name).over(others([*keys], BLOCK, side)).alias(name) for name, (_, fold, side) in scans.items()),
     )
-    inner = blocked.select(
-        *keys,
-        BLOCK,
-        BIN,
-        *(
-            _FOLD[fold](source).over(reach([*keys, BLOCK], BIN, side)).alias(f"_inner_{name}")
-            for name, (source, fold, side) in scans.items()
-        ),
+    rows = blocked.select(
+        *keys, BLOCK, BIN, *keep, *(F.col(source).alias(name) for name, (source, _, _) in scans.items()), F.lit(True).alias("_own")
     )
-    joined = join_null_safe(inner, blocks, [*keys, BLOCK], "left")
-    return joined.select(
-        *keys,
-        BIN,
-        *(
-            _combine(fold, F.col(f"_inner_{name}"), F.col(f"_outer_{name}")).alias(name)
-            for name, (_, fold, _) in scans.items()
-        ),
+    # Each block adds one row in front of its bins and one behind them, holding what the other blocks contribute.
+    ends = []
+    for side, at in (("before", F.col(BLOCK) * BINS_PER_BLOCK - 1), ("after", (F.col(BLOCK) + 1) * BINS_PER_BLOCK)):
+        values = [
+            F.when(F.lit(side == scanned_side), F.col(name)).alias(name) for name, (_, _, scanned_side) in scans.items()
+        ]
+        ends.append(F.struct(at.alias(BIN), *values))
+    edges = borrowed.select(*keys, BLOCK, F.explode(F.array(*ends)).alias("_end")).select(
+        *keys, BLOCK, "_end.*", F.lit(False).alias("_own")
     )
+    rows = rows.unionByName(edges, allowMissingColumns=True)
+
+    def result(name: str) -> Column:
+        _, fold, side = scans[name]
+        folded = _FOLD[fold](name).over(others([*keys, BLOCK], BIN, side))
+        return (F.coalesce(folded, F.lit(0)) if fold == "sum" else folded).alias(name)
+
+    scanned = rows.select(*keys, BIN, *keep, *(result(name) for name in scans), "_own")
+    return scanned.where("_own").drop("_own")
 
 
 def with_previous(
@@ -86,53 +86,91 @@ def with_previous(
 ) -> DataFrame:
     """Add the struct (time, ties, payload) of the preceding row of the group, NULL for the first row.
 
-    Equals ``lag`` over the whole group ordered by time and ties.
+    Equals ``lag`` over the whole group ordered by time, ties and payload.
     """
-    row = F.struct(time, *ties, *payload)
-    binned = df.withColumn(BIN, bin_of(F.col(time), bin_width)).withColumn("_row", row)
-    inside = Window.partitionBy(*keys, BIN).orderBy("_row")
-    rows = binned.withColumn("_near", F.lag("_row").over(inside))
+    binned = df.withColumn(BIN, bin_of(F.col(time), bin_width)).withColumn("_row", F.struct(time, *ties, *payload))
     ends = binned.groupBy(*keys, BIN).agg(F.max("_row").alias("_last"))
-    far = scan_bins(ends, keys, {"_far": ("_last", "max", "before")})
-    return (
-        join_null_safe(rows, far, [*keys, BIN], "left")
-        .withColumn(name, F.coalesce("_near", "_far"))
-        .drop(BIN, "_row", "_near", "_far")
+    borrowed = scan_bins(ends, keys, {"_row": ("_last", "max", "before")}).where(F.col("_row").isNotNull())
+    rows = binned.withColumn("_own", F.lit(True)).unionByName(
+        borrowed.withColumn("_own", F.lit(False)), allowMissingColumns=True
     )
+    inside = Window.partitionBy(*keys, BIN).orderBy("_row", "_own")
+    return rows.withColumn(name, F.lag("_row").over(inside)).where("_own").drop(BIN, "_row", "_own")
 
 
-def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int], bin_width: int | float
+def with_position(df: DataFrame, keys: Sequence[str], order: str, bin_width: int, name: str = "position") -> DataFrame:
+    """Add the zero-based position of each row in its group; ``order`` is unique within the group."""
+    binned = df.withColumn(BIN, bin_of(F.col(order), bin_width))
+    sizes = binned.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_size"))
+    borrowed = scan_bins(sizes, keys, {"_n": ("_size", "sum", "before")})
+    rows = binned.withColumns({"_n": F.lit(1).cast("bigint"), "_own": F.lit(True)}).unionByName(
+        borrowed.withColumn("_own", F.lit(False)), allowMissingColumns=True
+    )
+    so_far = Window.partitionBy(*keys, BIN).orderBy("_own", order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(name, F.sum("_n").over(so_far) - 1).where("_own").drop(BIN, "_n", "_own")
+
+
+def distribution(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    percents: Sequence[int],
+    bin_width: int | float,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Exact nearest-rank percentiles per group: the value of rank ceil(n * percent / 100), NULLs ignored.
+    """Per group: ``n``, ``n_null``, ``min``, ``max`` and exact nearest-rank percentiles ``p<percent>``.
 
-    Equal values are counted before the shuffle; ranks come from running counts inside bins of the value plus the
-    counts of earlier bins. Returns keys, ``n``, ``p<percent>`` columns.
+    The percentile is the value of rank ceil(n * percent / 100). Equal values are counted before the shuffle, ranks
+    come from running counts inside bins of the value. The counted values are needed three times, so they are written
+    once and whatever leads to them runs once. ``extra`` adds aggregates over ``value`` and ``copies``.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .withColumn(BIN, bin_of(F.col(value), bin_width))
-        .groupBy(*keys, BIN, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
+    binned = df.select(*keys, value).withColumn(BIN, bin_of(F.col(value), bin_width))
+    counted = materialise(
+        binned.groupBy(*keys, BIN, value).agg(F.count(F.lit(1)).alias("copies")), "counted-values"
     )
-    sizes = counted.groupBy(*keys, BIN).agg(F.sum("_n").alias("_size"))
-    offsets = scan_bins(sizes, keys, {"_lower": ("_size", "sum", "before"), "_upper": ("_size", "sum", "after")})
-    inside = Window.partitionBy(*keys, BIN)
-    ranked = counted.withColumn(
-        "_running", F.sum("_n").over(inside.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_size", F.sum("_n").over(inside))
-    joined = join_null_safe(ranked, offsets, [*keys, BIN], "left").select(
+    sizes = counted.groupBy(*keys, BIN).agg(
+        F.sum(F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0)).alias("_size")
+    )
+    scanned = scan_bins(
+        sizes, keys, {"_lower": ("_size", "sum", "before"), "_upper": ("_size", "sum", "after")}, keep=["_size"]
+    )
+    borrowed = scanned.select(
         *keys,
-        F.col(value).alias("_value"),
-        (F.col("_lower") + F.col("_running") - F.col("_n")).alias("_from"),
-        (F.col("_lower") + F.col("_running")).alias("_to"),
-        (F.col("_lower") + F.col("_size") + F.col("_upper")).alias("n"),
-        "_n",
+        BIN,
+        F.col("_lower").alias("copies"),
+        (F.col("_lower") + F.col("_size") + F.col("_upper")).alias("_total"),
+        F.lit(False).alias("_own"),
     )
+    rows = counted.withColumn("_own", F.lit(True)).unionByName(borrowed, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, BIN).orderBy("_own", value).rowsBetween(Window.unboundedPreceding, 0)
+    # The borrowed row comes first in its bin, so what it carries reaches all rows of the bin.
+    ranked = rows.select(
+        *keys,
+        value,
+        "copies",
+        F.sum("copies").over(inside).alias("_to"),
+        F.max("_total").over(inside).alias("_total"),
+        "_own",
+    ).where("_own")
 
     def at(percent: int) -> Column:
-        rank = F.greatest(F.lit(1), F.floor((F.col("n") * percent + 99) / 100))
-        hit = (F.col("_from") < rank) & (rank <= F.col("_to"))
-        return F.max(F.when(hit, F.col("_value"))).alias(f"p{percent}")
+        rank = F.greatest(F.lit(1), F.floor((F.col("_total") * percent + 99) / 100))
+        hit = (F.col("_to") - F.col("copies") < rank) & (rank <= F.col("_to")) & F.col(value).isNotNull()
+        return F.max(F.when(hit, F.col(value))).alias(f"p{percent}")
+
+    return ranked.groupBy(*keys).agg(
+        F.max("_total").alias("n"),
+        F.sum(F.when(F.col(value).isNull(), F.col("copies")).otherwise(0)).alias("n_null"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        *(at(p) for p in percents),
+        *(column.alias(name) for name, column in (extra or {}).items()),
+    )
+
 
-    return joined.groupBy(*keys).agg(F.sum("_n").alias("n"), *(at(p) for p in percents))
+def quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int], bin_width: int | float
+) -> DataFrame:
+    """Only ``n`` and the percentiles; NULLs do not count."""
+    present = df.where(F.col(value).isNotNull())
+    return distribution(present, keys, value, percents, bin_width).select(*keys, "n", *(f"p{p}" for p in percents))

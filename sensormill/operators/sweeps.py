@@ -10,8 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensormill.operators.joins import join_null_safe
-from sensormill.operators.ordered import BIN, bin_of, quantiles, scan_bins, with_previous
+from sensormill.operators.ordered import bin_of, distribution, quantiles, with_position, with_previous
 
 SECOND_NS = 1_000_000_000
 SWEEP = ("log_id", "sweep_ns")
@@ -40,7 +39,7 @@ def returns_against_history(
     """
     if not 0 < history <= ROWS_PER_BLOCK:
         raise ValueError(f"history must be between 1 and {ROWS_PER_BLOCK} sweeps")
-    numbered = _number_rows(returns, keys, sweep, bin_width)
+    numbered = with_position(returns, keys, sweep, bin_width, "_rn")
     block = ROWS_PER_BLOCK
     home = F.floor(F.col("_rn") / block)
     # A row also serves as history for the next block if it is among the last `history` rows before it.
@@ -68,19 +67,6 @@ def returns_against_history(
     )
 
 
-def _number_rows(df: DataFrame, keys: Sequence[str], order: str, bin_width: int) -> DataFrame:
-    """Zero-based position of each row in its group, by counting inside bins and adding the earlier bins."""
-    binned = df.withColumn(BIN, bin_of(F.col(order), bin_width))
-    inside = Window.partitionBy(*keys, BIN).orderBy(order)
-    sizes = binned.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_size"))
-    offsets = scan_bins(sizes, keys, {"_offset": ("_size", "sum", "before")})
-    return (
-        join_null_safe(binned.withColumn("_at", F.row_number().over(inside) - 1), offsets, [*keys, BIN], "left")
-        .withColumn("_rn", F.col("_offset") + F.col("_at"))
-        .drop(BIN, "_offset", "_at")
-    )
-
-
 def point_range(x: Column, y: Column, z: Column) -> Column:
     return F.sqrt(x * x + y * y + z * z)
 
@@ -172,15 +158,20 @@ def capture_rate(
     tolerance: float = 0.5,
     bin_ns: int = 1_000_000,
 ) -> DataFrame:
-    """Intervals per sensor against the nominal one: exact percentiles and how many are off by the tolerance."""
-    measured = intervals.withColumn("_nominal", nominal_ns)
-    off = F.abs(F.col("interval_ns") - F.col("_nominal")) > F.lit(tolerance) * F.col("_nominal")
-    counts = measured.groupBy(*keys).agg(
-        F.count("interval_ns").alias("n_intervals"),
-        F.sum(F.when(off, 1).otherwise(0)).alias("n_off_rate"),
-        F.max("interval_ns").alias("max_interval_ns"),
+    """Intervals per sensor against the nominal one: exact percentiles and how many are off by the tolerance.
+
+    ``nominal_ns`` is a constant or an expression over ``keys``.
+    """
+    off = F.abs(F.col("interval_ns") - nominal_ns) > F.lit(tolerance) * nominal_ns
+    extra = {"n_off_rate": F.sum(F.when(off, F.col("copies")).otherwise(0))}
+    spread = distribution(intervals, keys, "interval_ns", percents, bin_ns, extra)
+    return spread.select(
+        *keys,
+        F.col("n").alias("n_intervals"),
+        "n_off_rate",
+        F.col("max").alias("max_interval_ns"),
+        *(f"p{p}" for p in percents),
     )
-    return join_null_safe(counts, quantiles(measured, keys, "interval_ns", percents, bin_ns).drop("n"), keys, "left")
 
 
 def to_world(points: DataFrame, poses: DataFrame) -> DataFrame:

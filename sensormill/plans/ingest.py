@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sensormill.functions.canonical import digest_by
 from sensormill.operators import ledger as ledgers
 from sensormill.operators.integrity import split_log_ids
-from sensormill.operators.normalise import canonical_tables, without_required_files
+from sensormill.operators.normalise import WRITE_ORDER, canonical_tables, without_required_files
 from sensormill.plans.store import next_snapshot_id
 from sensormill.sources.files import digest_items, hash_files, list_files
 from sensormill.workspace import materialise
@@ -91,7 +91,7 @@ def ingest(store, folders: DataFrame, transform_version: str, fill_digest: bool
     usable = named.join(broken, "log_id", "left_anti")
     planned = materialise(plan_commits(usable, hashed, store.ledger(), transform_version, run), "planned-commits")
     fresh = planned.where("is_new")
-    written = dict.fromkeys(canonical_tables(fresh, hashed), 0)
+    written = dict.fromkeys(WRITE_ORDER, 0)
     if not fresh.isEmpty():
         written = write_tables(store, fresh, hashed, append_id, fill_digest)
     recorded = record(store, planned, append_id).select("log_id", F.lit(True).alias("_recorded"))

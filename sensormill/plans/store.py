@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,11 @@ class ParquetStore:
     def ensure_tables(self) -> None:
         """Create what does not exist; safe to repeat."""
         for name, schema in {**self.schemas, "ledger": _ddl(LEDGER_DDL), "tags": _ddl(TAG_DDL)}.items():
-            empty = self.spark.createDataFrame([], _with_append_id(schema))
+            try:
+                self._read(name, schema)
+                continue
+            except AnalysisException:
+                empty = self.spark.createDataFrame([], _with_append_id(schema))
             empty.write.mode("append").partitionBy("append_id").parquet(self._path(name))
 
     def append(self, table: str, df: DataFrame, append_id: int) -> int:
