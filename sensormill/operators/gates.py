@@ -83,11 +83,11 @@ def quarantine_depth(quarantined: DataFrame, by: Sequence[str] = ()) -> DataFram
 
 
 def freshness(
-    df: DataFrame, by: Sequence[str], emitted_ns: str, queryable_ns: str, percents: Sequence[int] = (50, 95), bin_ns: int = 1_000_000_000
+    df: DataFrame, by: Sequence[str], emitted_ns: str, queryable_ns: str, percents: Sequence[int] = (50, 95)
 ) -> DataFrame:
     """Exact percentiles of the time from emission until a row could be queried."""
     lag = df.select(*by, (F.col(queryable_ns) - F.col(emitted_ns)).alias("lag_ns"))
-    return quantiles(lag, by, "lag_ns", percents, bin_ns)
+    return quantiles(lag, by, "lag_ns", percents)
 
 
 def fault_recall(

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from sensormill.functions.text import format_number
 from sensormill.functions.timing import ns_to_ms
-from sensormill.operators.ordered import BIN, bin_of, distribution, scan_bins
+from sensormill.operators.ordered import BIN, bin_of, bin_width, distribution, scan_bins
 
-MINUTE_NS = 60_000_000_000
 SWEEP, FRAME = 1, 2
 
 
@@ -23,22 +22,23 @@ def _for_each_camera(rows: DataFrame, cameras: DataFrame | Sequence[str]) -> Dat
 
 
 def nearest_frames(
-    sweeps: DataFrame, frames: DataFrame, cameras: DataFrame | Sequence[str], bin_ns: int = MINUTE_NS
+    sweeps: DataFrame, frames: DataFrame, cameras: DataFrame | Sequence[str], bin_ns: float | None = None
 ) -> DataFrame:
     """The nearest frame of every camera for every distinct sweep (log_id, timestamp_ns).
 
     Sweeps and frames are merged on one time line per camera and cut into bins. Inside a bin the last frame at or
     before and the first at or after a sweep are running maxima and minima; of other bins it borrows the last frame
-    before and the first after. The work is linear in rows plus one sort, however long a log is. A camera without
+    before and the first after. Without ``bin_ns`` the width follows the density of the frames. The work is linear in rows plus one sort, however long a log is. A camera without
     frames keeps its rows, with NULL for the frame.
     """
     key = ["log_id", "sensor"]
+    width = bin_ns or bin_width(frames, "timestamp_ns")
     targets = _for_each_camera(sweeps.select("log_id", "timestamp_ns"), cameras)
     line = targets.select(*key, "timestamp_ns", F.lit(SWEEP).alias("_kind")).unionByName(
         frames.select(*key, "timestamp_ns", F.lit(FRAME).alias("_kind"))
     )
     # One column for both marks: whoever reads the merged line reads the same columns, so its shuffle is done once.
-    points = line.groupBy(*key, bin_of(F.col("timestamp_ns"), bin_ns).alias(BIN), "timestamp_ns").agg(
+    points = line.groupBy(*key, bin_of(F.col("timestamp_ns"), width).alias(BIN), "timestamp_ns").agg(
         F.bit_or("_kind").alias("_kind")
     )
     frame = F.when(F.col("_kind").bitwiseAND(FRAME) != 0, F.col("timestamp_ns"))
@@ -84,10 +84,10 @@ def nearest_to_one_sweep(
 
 
 def skew_distribution(
-    skews: DataFrame, by: Sequence[str] = ("log_id", "sensor"), percents: Sequence[int] = (5, 50, 95), bin_ns: int = 1_000_000
+    skews: DataFrame, by: Sequence[str] = ("log_id", "sensor"), percents: Sequence[int] = (5, 50, 95)
 ) -> DataFrame:
     """Minimum, exact percentiles, maximum and sweeps without any frame, per camera."""
-    spread = distribution(skews, by, "skew_ns", percents, bin_ns)
+    spread = distribution(skews, by, "skew_ns", percents)
     return spread.select(
         *by,
         (F.col("n") + F.col("n_null")).alias("n_sweeps"),

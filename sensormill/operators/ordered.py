@@ -9,25 +9,46 @@ bins. A log that holds a third of all rows is thus spread over its bins, and NUL
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensormill.workspace import materialise
 
 BIN = "_bin"
 BLOCK = "_block"
 BINS_PER_BLOCK = 1024
+_LAST_BIN = 1 << 62
 
 _FOLD = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
+ROWS_PER_BIN = 2_000_000
+
+
 def bin_of(value: Column, width: int | float) -> Column:
     """Bin number. It only has to grow with the value, which division in double precision keeps."""
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
+def bin_width(df: DataFrame, value: str, rows_per_bin: int = ROWS_PER_BIN) -> float:
+    """Width at which a group holding all rows would get ``rows_per_bin`` per bin, from one light aggregation.
+
+    A small table ends up in one bin. Callers who know the rate of their sensors pass a width and save the pass.
+    """
+    n, low, high = df.agg(F.count(value), F.min(value), F.max(value)).first()
+    if not n:
+        return 1.0
+    bins = max(1, -(-n // rows_per_bin))
+    # One bin starts at zero, so a range across zero still needs two; the width covers the greater side.
+    spread = high - low if bins > 1 else max(abs(low), abs(high))
+    width = float(spread) / bins * (1 + 1e-9) + (1.0 if isinstance(low, int) else 0.0)
+    return width if 0 < width < math.inf else 1.0
+
+
 def scan_bins(
     bins: DataFrame, keys: Sequence[str], scans: Mapping[str, tuple[str, str, str]], keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -79,7 +100,7 @@ def with_previous(
     df: DataFrame,
     keys: Sequence[str],
     time: str,
-    bin_width: int,
+    width: float | None = None,
     ties: Sequence[str] = (),
     payload: Sequence[str] = (),
     name: str = "previous",
@@ -88,7 +109,7 @@ def with_previous(
 
     Equals ``lag`` over the whole group ordered by time, ties and payload.
     """
-    binned = df.withColumn(BIN, bin_of(F.col(time), bin_width)).withColumn("_row", F.struct(time, *ties, *payload))
+    binned = df.withColumn(BIN, bin_of(F.col(time), width or bin_width(df, time))).withColumn("_row", F.struct(time, *ties, *payload))
     ends = binned.groupBy(*keys, BIN).agg(F.max("_row").alias("_last"))
     borrowed = scan_bins(ends, keys, {"_row": ("_last", "max", "before")}).where(F.col("_row").isNotNull())
     rows = binned.withColumn("_own", F.lit(True)).unionByName(
@@ -98,9 +119,11 @@ def with_previous(
     return rows.withColumn(name, F.lag("_row").over(inside)).where("_own").drop(BIN, "_row", "_own")
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: str, bin_width: int, name: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame, keys: Sequence[str], order: str, width: float | None = None, name: str = "position"
+) -> DataFrame:
     """Add the zero-based position of each row in its group; ``order`` is unique within the group."""
-    binned = df.withColumn(BIN, bin_of(F.col(order), bin_width))
+    binned = df.withColumn(BIN, bin_of(F.col(order), width or bin_width(df, order)))
     sizes = binned.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_size"))
     borrowed = scan_bins(sizes, keys, {"_n": ("_size", "sum", "before")})
     rows = binned.withColumns({"_n": F.lit(1).cast("bigint"), "_own": F.lit(True)}).unionByName(
@@ -115,7 +138,7 @@ def distribution(
     keys: Sequence[str],
     value: str,
     percents: Sequence[int],
-    bin_width: int | float,
+    width: float | None = None,
     extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per group: ``n``, ``n_null``, ``min``, ``max`` and exact nearest-rank percentiles ``p<percent>``.
@@ -124,10 +147,11 @@ def distribution(
     come from running counts inside bins of the value. The counted values are needed three times, so they are written
     once and whatever leads to them runs once. ``extra`` adds aggregates over ``value`` and ``copies``.
     """
-    binned = df.select(*keys, value).withColumn(BIN, bin_of(F.col(value), bin_width))
-    counted = materialise(
-        binned.groupBy(*keys, BIN, value).agg(F.count(F.lit(1)).alias("copies")), "counted-values"
-    )
+    counted = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies")), "counted-values")
+    number = bin_of(F.col(value), width or bin_width(counted, value))
+    if isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType)):
+        number = F.when(F.isnan(value), F.lit(_LAST_BIN)).otherwise(number)  # NaN sorts behind all numbers
+    counted = counted.withColumn(BIN, number)
     sizes = counted.groupBy(*keys, BIN).agg(
         F.sum(F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0)).alias("_size")
     )
@@ -169,8 +193,8 @@ def distribution(
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int], bin_width: int | float
+    df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int], width: float | None = None
 ) -> DataFrame:
     """Only ``n`` and the percentiles; NULLs do not count."""
     present = df.where(F.col(value).isNotNull())
-    return distribution(present, keys, value, percents, bin_width).select(*keys, "n", *(f"p{p}" for p in percents))
+    return distribution(present, keys, value, percents, width).select(*keys, "n", *(f"p{p}" for p in percents))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from sensormill.operators.ordered import bin_of, distribution, quantiles, with_position, with_previous
 
-SECOND_NS = 1_000_000_000
 SWEEP = ("log_id", "sweep_ns")
 ROWS_PER_BLOCK = 4096
 
@@ -29,7 +28,6 @@ def returns_against_history(
     keys: Sequence[str] = ("log_id", "laser_number"),
     sweep: str = "sweep_ns",
     collapse_ratio: float = 0.5,
-    bin_width: int = 60 * SECOND_NS,
 ) -> DataFrame:
     """Each laser's count against the mean of its ``history`` preceding sweeps.
 
@@ -39,7 +37,7 @@ def returns_against_history(
     """
     if not 0 < history <= ROWS_PER_BLOCK:
         raise ValueError(f"history must be between 1 and {ROWS_PER_BLOCK} sweeps")
-    numbered = with_position(returns, keys, sweep, bin_width, "_rn")
+    numbered = with_position(returns, keys, sweep, name="_rn")
     block = ROWS_PER_BLOCK
     home = F.floor(F.col("_rn") / block)
     # A row also serves as history for the next block if it is among the last `history` rows before it.
@@ -83,7 +81,7 @@ def range_distribution(
 def range_quantiles(
     points: DataFrame, by: Sequence[str] = SWEEP, value: str = "range_m", percents: Sequence[int] = (50, 95)
 ) -> DataFrame:
-    return quantiles(points, by, value, percents, 0.01)
+    return quantiles(points, by, value, percents)
 
 
 def sweep_timing(
@@ -94,10 +92,9 @@ def sweep_timing(
     offset: str = "offset_ns",
     revolution_ns: int = 100_000_000,
     tolerance_ns: int = 5_000_000,
-    bin_rows: int = 65_536,
 ) -> DataFrame:
     """Span of the offsets of a sweep and how often an offset steps back within its laser, in recorded order."""
-    stepped = with_previous(points, [*keys, laser], order, bin_rows, payload=[offset])
+    stepped = with_previous(points, [*keys, laser], order, payload=[offset])
     back = F.col(offset) < F.col(f"previous.{offset}")
     span = F.max(offset) - F.min(offset)
     return stepped.groupBy(*keys).agg(
@@ -108,7 +105,7 @@ def sweep_timing(
     )
 
 
-def pose_steps(poses: DataFrame, bin_ns: int = 60 * SECOND_NS, payload_ties: Sequence[str] = ()) -> DataFrame:
+def pose_steps(poses: DataFrame, bin_ns: float | None = None, payload_ties: Sequence[str] = ()) -> DataFrame:
     """Time step, distance and turning angle between consecutive poses of a log."""
     quaternion = ("qw", "qx", "qy", "qz")
     place = ("tx_m", "ty_m", "tz_m")
@@ -144,7 +141,7 @@ def pose_continuity(
 
 
 def capture_intervals(
-    stamps: DataFrame, keys: Sequence[str] = ("log_id", "sensor"), bin_ns: int = 60 * SECOND_NS, ties: Sequence[str] = ()
+    stamps: DataFrame, keys: Sequence[str] = ("log_id", "sensor"), bin_ns: float | None = None, ties: Sequence[str] = ()
 ) -> DataFrame:
     stepped = with_previous(stamps, keys, "timestamp_ns", bin_ns, ties=ties)
     return stepped.withColumn("interval_ns", F.col("timestamp_ns") - F.col("previous.timestamp_ns")).drop("previous")
@@ -156,7 +153,6 @@ def capture_rate(
     keys: Sequence[str] = ("log_id", "sensor"),
     percents: Sequence[int] = (50, 95),
     tolerance: float = 0.5,
-    bin_ns: int = 1_000_000,
 ) -> DataFrame:
     """Intervals per sensor against the nominal one: exact percentiles and how many are off by the tolerance.
 
@@ -164,7 +160,7 @@ def capture_rate(
     """
     off = F.abs(F.col("interval_ns") - nominal_ns) > F.lit(tolerance) * nominal_ns
     extra = {"n_off_rate": F.sum(F.when(off, F.col("copies")).otherwise(0))}
-    spread = distribution(intervals, keys, "interval_ns", percents, bin_ns, extra)
+    spread = distribution(intervals, keys, "interval_ns", percents, extra=extra)
     return spread.select(
         *keys,
         F.col("n").alias("n_intervals"),

@@ -123,7 +123,7 @@ def range_buckets(spark: SparkSession, folder: str) -> DataFrame:
 @query(_rank_sql("orders", "o_orderpriority", "o_totalprice", (1, 50, 95)))
 def value_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     """Exact percentiles of a double over large groups."""
-    return quantiles(table(spark, folder, "orders"), ["o_orderpriority"], "o_totalprice", (1, 50, 95), 100.0)
+    return quantiles(table(spark, folder, "orders"), ["o_orderpriority"], "o_totalprice", (1, 50, 95))
 
 
 _RASTER = """raster AS (SELECT CAST(p_size AS BIGINT) AS cell_x, CAST(substr(p_brand, 7) AS BIGINT) AS cell_y,
@@ -255,7 +255,7 @@ def freshness_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
     emitted = orders.select("o_orderkey", "o_orderpriority", epoch_ns(orders, "o_orderdate").alias("emitted_ns"))
     landed = lines.select(F.col("l_orderkey").alias("o_orderkey"), epoch_ns(lines, "l_shipdate").alias("queryable_ns"))
-    return gates.freshness(landed.join(emitted, "o_orderkey"), ["o_orderpriority"], "emitted_ns", "queryable_ns", bin_ns=DAY_NS)
+    return gates.freshness(landed.join(emitted, "o_orderkey"), ["o_orderpriority"], "emitted_ns", "queryable_ns")
 
 
 @query(

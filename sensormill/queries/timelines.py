@@ -36,7 +36,7 @@ def _sweeps(frames: DataFrame) -> DataFrame:
 
 def _all_skews(spark: SparkSession, folder: str) -> DataFrame:
     frames = event_frames(spark, folder)
-    return nearest_frames(_sweeps(frames), frames.where("sensor <> 'click'"), CAMERAS, HOUR_NS)
+    return nearest_frames(_sweeps(frames), frames.where("sensor <> 'click'"), CAMERAS)
 
 
 _TARGETS = f"""{EVENT_FRAMES_SQL}, cameras(sensor) AS (VALUES {_CAMERAS_SQL}),
@@ -74,7 +74,7 @@ spread AS (SELECT sensor, count(*) AS n_sweeps,
 SELECT s.*, r.p5, r.p50, r.p95 FROM spread s LEFT JOIN ranks r ON r.sensor = s.sensor"""
 )
 def skew_distribution_per_camera(spark: SparkSession, folder: str) -> DataFrame:
-    return skew_distribution(_all_skews(spark, folder), by=["sensor"], bin_ns=60_000_000_000)
+    return skew_distribution(_all_skews(spark, folder), by=["sensor"])
 
 
 _FIRST = f"""{EVENT_FRAMES_SQL}, cameras(sensor) AS (VALUES {_CAMERAS_SQL}),
@@ -115,8 +115,8 @@ SELECT c.*, r.p50, r.p95 FROM c LEFT JOIN ranks r ON r.log_id = c.log_id AND r.s
 )
 def capture_rate_per_sensor(spark: SparkSession, folder: str) -> DataFrame:
     frames = event_frames(spark, folder)
-    intervals = capture_intervals(frames, bin_ns=DAY_NS, ties=["event_id"])
-    return capture_rate(intervals, F.lit(DAY_NS), bin_ns=HOUR_NS)
+    intervals = capture_intervals(frames, ties=["event_id"])
+    return capture_rate(intervals, F.lit(DAY_NS))
 
 
 def _poses(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,7 +150,7 @@ steps AS (SELECT log_id, event_id, timestamp_ns - t0 AS step_ns, sqrt((x - x0) *
 round(angle_rad, 5) AS angle_rad FROM steps"""
 )
 def pose_step_measures(spark: SparkSession, folder: str) -> DataFrame:
-    steps = pose_steps(_poses(spark, folder), bin_ns=DAY_NS, payload_ties=["event_id"])
+    steps = pose_steps(_poses(spark, folder), payload_ties=["event_id"])
     return steps.select(
         "log_id",
         "event_id",
@@ -161,7 +161,7 @@ def pose_step_measures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _continuity(spark: SparkSession, folder: str) -> DataFrame:
-    steps = pose_steps(_poses(spark, folder), bin_ns=DAY_NS, payload_ties=["event_id"])
+    steps = pose_steps(_poses(spark, folder), payload_ties=["event_id"])
     return pose_continuity(steps, max_step_ns=12 * HOUR_NS, max_distance_m=50.5, max_angle_rad=0.505)
 
 
@@ -202,7 +202,7 @@ def returns_per_laser(spark: SparkSession, folder: str) -> DataFrame:
     frames = event_frames(spark, folder).withColumn("day", F.floor(F.col("timestamp_ns") / DAY_NS))
     keys = ["log_id", "sensor"]
     returns = laser_returns(frames, keys, "day")
-    return returns_against_history(returns, 5, keys, "day", bin_width=7).drop("history_mean")
+    return returns_against_history(returns, 5, keys, "day").drop("history_mean")
 
 
 @query(
