@@ -100,6 +100,34 @@ def hash_files(files: DataFrame) -> DataFrame:
     return files.repartition("path").mapInPandas(_hash_batches, f"{_ddl(files)}, checksum string")
 
 
+def _probe_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    for batch in batches:
+        sizes, sums = [], []
+        for path in batch["source_path"]:
+            system, name = _filesystem(path)
+            info = system.get_file_info(name)
+            if info.type != fs.FileType.File:
+                sizes.append(None)
+                sums.append(None)
+                continue
+            running = hashlib.sha256()
+            with system.open_input_stream(name) as stream:
+                while chunk := stream.read(CHUNK):
+                    running.update(chunk)
+            sizes.append(info.size)
+            sums.append(running.hexdigest())
+        found = pd.DataFrame({"source_path": batch["source_path"], "byte_size": sizes, "checksum": sums})
+        yield found.astype({"byte_size": "Int64"})[found["checksum"].notna()]
+
+
+def probe_files(paths: DataFrame) -> DataFrame:
+    """(source_path, byte_size, checksum) of the given paths as they are now; a path without a file has no row."""
+    schema = "source_path string, byte_size bigint, checksum string"
+    return paths.select("source_path").repartition("source_path").mapInPandas(_probe_batches, schema)
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
