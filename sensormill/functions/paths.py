@@ -16,8 +16,8 @@ def strip_scheme(path: Column) -> Column:
 
 
 def folder_name(path: Column, up: int = 1) -> Column:
-    """Name of the folder ``up`` levels above the file (1 is its own folder)."""
-    return F.element_at(F.split(path, "/"), -(up + 1))
+    """Name of the folder ``up`` levels above the file (1 is its own folder), NULL if there is none."""
+    return F.try_element_at(F.split(path, "/"), F.lit(-(up + 1)))
 
 
 def relative_to(path: Column, root: Column) -> Column:

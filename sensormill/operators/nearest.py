@@ -26,10 +26,10 @@ def nearest_frames(
 ) -> DataFrame:
     """The nearest frame of every camera for every distinct sweep (log_id, timestamp_ns).
 
-    Sweeps and frames are merged on one time line per camera and cut into bins. Inside a bin the last frame at or
-    before and the first at or after a sweep are running maxima and minima; of other bins it borrows the last frame
-    before and the first after. Without ``bin_ns`` the width follows the density of the frames. The work is linear in rows plus one sort, however long a log is. A camera without
-    frames keeps its rows, with NULL for the frame.
+    Sweeps and frames are merged on one time line per camera and cut into bins; without ``bin_ns`` their width follows
+    the density of the frames. Inside a bin the last frame at or before and the first at or after a sweep are running
+    maxima and minima; of other bins it borrows the last frame before and the first after. The work is linear in rows
+    plus one sort, however long a log is. A camera without frames keeps its rows, with NULL for the frame.
     """
     key = ["log_id", "sensor"]
     width = bin_ns or bin_width(frames, "timestamp_ns")
