@@ -80,3 +80,14 @@ def commit_id_sets(left: DataFrame, right: DataFrame) -> DataFrame:
     sides = tagged.groupBy("ingest_commit_id").agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
     where = F.when(F.col("_r") == 0, "left_only").when(F.col("_l") == 0, "right_only").otherwise("both")
     return sides.groupBy(where.alias("membership")).agg(F.count(F.lit(1)).alias("n_commits"))
+
+
+def recorded_snapshots(ledger: DataFrame) -> DataFrame:
+    """(table_name, snapshot_id) as of the newest ledger rows: no table has to be opened for it."""
+    entries = ledger.select(F.explode("snapshots").alias("table_name", "snapshot_id"))
+    return entries.groupBy("table_name").agg(F.max("snapshot_id").alias("snapshot_id"))
+
+
+def export_commits(ledger: DataFrame) -> DataFrame:
+    """Ledger rows with the snapshot map as JSON text."""
+    return ledger.withColumn("snapshots", F.to_json("snapshots"))

@@ -13,7 +13,7 @@ from sensormill.operators import ledger as ledgers
 from sensormill.operators.integrity import split_log_ids
 from sensormill.operators.normalise import WRITE_ORDER, canonical_tables, without_required_files
 from sensormill.plans.store import next_snapshot_id
-from sensormill.sources.files import digest_items, hash_files, list_files
+from sensormill.sources.files import digest_items, hash_files, list_files, tasks_for
 from sensormill.workspace import materialise
 
 # Fixed value: SHA-256 of no bytes, the digest of a folder without files.
@@ -59,11 +59,16 @@ def write_tables(store, logs: DataFrame, hashed: DataFrame, append_id: int, fill
     }
 
 
-def record(store, logs: DataFrame, append_id: int) -> DataFrame:
-    """Append commits and activations for ``logs`` whose commit is not the active one; returns those logs."""
-    active = ledgers.latest(ledgers.activations(store.ledger()))
+def record(store, logs: DataFrame, append_id: int, written: dict[str, int]) -> DataFrame:
+    """Append commits and activations for ``logs`` whose commit is not the active one; returns those logs.
+
+    The snapshot of a table is this append if it got rows, else the one the ledger knew before.
+    """
+    ledger = store.ledger()
+    active = ledgers.latest(ledgers.activations(ledger))
     changed = logs.join(ledgers.changed_activations(logs, active), ["log_id", "commit_id"], "left_semi")
-    snapshots = store.snapshot_ids()
+    known = {r.table_name: r.snapshot_id for r in ledgers.recorded_snapshots(ledger).collect()}
+    snapshots = {t: append_id if n else known.get(t) for t, n in written.items()}
     entries = [x for t, s in snapshots.items() for x in (F.lit(t), F.lit(s).cast("bigint"))]
     rows = changed.select(
         F.lit(append_id).cast("bigint").alias("seq"),
@@ -86,7 +91,8 @@ def ingest(store, folders: DataFrame, transform_version: str, fill_digest: bool
     run, append_id = uuid.uuid4().hex, next_snapshot_id()
     store.ensure_tables()
     named, improper = split_log_ids(folders.select("log_id", "root").distinct())
-    hashed = materialise(hash_files(list_files(named)), "hashed-files")
+    listed = materialise(list_files(named), "listed-files")
+    hashed = materialise(hash_files(listed, tasks_for(listed)), "hashed-files")
     broken = without_required_files(named, hashed).select("log_id").distinct()
     usable = named.join(broken, "log_id", "left_anti")
     planned = materialise(plan_commits(usable, hashed, store.ledger(), transform_version, run), "planned-commits")
@@ -94,7 +100,7 @@ def ingest(store, folders: DataFrame, transform_version: str, fill_digest: bool
     written = dict.fromkeys(WRITE_ORDER, 0)
     if not fresh.isEmpty():
         written = write_tables(store, fresh, hashed, append_id, fill_digest)
-    recorded = record(store, planned, append_id).select("log_id", F.lit(True).alias("_recorded"))
+    recorded = record(store, planned, append_id, written).select("log_id", F.lit(True).alias("_recorded"))
     action = (
         F.when(F.col("is_new"), "committed")
         .when(F.col("_recorded"), "reactivated")

@@ -64,9 +64,8 @@ class Releases:
         self._write("commits", active.join(logs.select("log_id"), "log_id", "left_semi"), release_id)
         commits = self.part("commits", release_id)
         tables = self._tables(commits)
-        snapshots = self.store.snapshot_ids()
-        named = F.create_map(*(x for t, s in snapshots.items() for x in (F.lit(t), F.lit(s).cast("bigint"))))
-        pins = pin_tables(tables).withColumn("snapshot_id", F.element_at(named, F.col("table_name")))
+        snapshots = ledgers.recorded_snapshots(self.store.ledger())
+        pins = pin_tables(tables).join(snapshots, "table_name", "left")
         self._write("tables", pins.select("table_name", "snapshot_id", "n_rows", "fingerprint"), release_id)
         self._write("blobs", pin_blobs(tables["sensor_data"]), release_id)
         header = self.spark.range(1).select(

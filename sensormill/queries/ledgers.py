@@ -186,3 +186,17 @@ def rows_of_listed_logs(spark: SparkSession, folder: str) -> DataFrame:
     listed = table(spark, folder, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("log_id"))
     rows = table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("log_id"))
     return in_scope(rows, listed).groupBy("log_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    """SELECT 'c' || o_orderkey AS commit_id, '{"pose":' || o_orderkey || ',"track":' ||
+  CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE CAST(o_custkey AS VARCHAR) END || '}' AS snapshots FROM orders"""
+)
+def snapshot_map_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshot ids per table as JSON, with null for a table nothing was appended to."""
+    track = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    rows = table(spark, folder, "orders").select(
+        F.concat(F.lit("c"), F.col("o_orderkey")).alias("commit_id"),
+        F.create_map(F.lit("pose"), F.col("o_orderkey"), F.lit("track"), track).alias("snapshots"),
+    )
+    return ops.export_commits(rows)

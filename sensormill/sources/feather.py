@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from sensormill.workspace import spread
+
 
 def _open(path: str):
     from pyarrow import fs
@@ -56,7 +58,6 @@ def read_tables(paths: DataFrame, schema: T.StructType, keys: Sequence[str] = ("
     out = T.StructType(
         [*(paths.schema[k] for k in keys), T.StructField("row_index", T.LongType()), *schema.fields]
     )
-    width = len(keys)
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(out)
@@ -65,8 +66,7 @@ def read_tables(paths: DataFrame, schema: T.StructType, keys: Sequence[str] = ("
                 constants = {k: (lambda n, v=row[k], t=arrow.field(k).type: pa.array([v] * n, t)) for k in keys}
                 yield from _read(row["path"], arrow, constants)
 
-    assert width == len(set(keys))
-    return paths.select(*keys, "path").repartition("path").mapInArrow(load, out)
+    return spread(paths.select(*keys, "path"), "path").mapInArrow(load, out)
 
 
 class _Files(InputPartition):

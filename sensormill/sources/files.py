@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormill.functions.paths import relative_to, strip_scheme
+from sensormill.workspace import spread
 
 CHUNK = 1 << 20
 _LISTED = "log_id string, root string, path string, byte_size bigint, is_folder boolean"
@@ -75,7 +76,7 @@ def list_files(folders: DataFrame, levels: int = 3) -> DataFrame:
         F.lit(True).alias("is_folder"),
     )
     for level in range(levels + 1):
-        rows = rows.repartition("path").mapInPandas(_expand(recursive=level == levels), _LISTED)
+        rows = spread(rows, "path").mapInPandas(_expand(recursive=level == levels), _LISTED)
     return rows.where("NOT is_folder").drop("is_folder")
 
 
@@ -92,12 +93,18 @@ def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(checksum=sums)
 
 
-def hash_files(files: DataFrame) -> DataFrame:
+def hash_files(files: DataFrame, partitions: int | None = None) -> DataFrame:
     """Add ``checksum``. Files of any size are streamed in chunks; ``binaryFile`` would load each into one row.
 
     Paths are spread by hash over all tasks, whichever log they belong to, because cameras of one log dominate.
     """
-    return files.repartition("path").mapInPandas(_hash_batches, f"{_ddl(files)}, checksum string")
+    return spread(files, "path", partitions).mapInPandas(_hash_batches, f"{_ddl(files)}, checksum string")
+
+
+def tasks_for(files: DataFrame, bytes_per_task: int = 512 << 20) -> int:
+    """How many tasks the payload bytes of a listing are worth."""
+    total = files.agg(F.sum("byte_size")).first()[0] or 0
+    return -(-total // bytes_per_task)
 
 
 def _probe_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,7 +132,7 @@ def _probe_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def probe_files(paths: DataFrame) -> DataFrame:
     """(source_path, byte_size, checksum) of the given paths as they are now; a path without a file has no row."""
     schema = "source_path string, byte_size bigint, checksum string"
-    return paths.select("source_path").repartition("source_path").mapInPandas(_probe_batches, schema)
+    return spread(paths.select("source_path"), "source_path").mapInPandas(_probe_batches, schema)
 
 
 def _ddl(df: DataFrame) -> str:

@@ -53,10 +53,13 @@ def source_keys(folders: DataFrame) -> DataFrame:
     """
     listed = "path string, is_file boolean"
     root = F.col("root")
-    cameras = folders.select(F.concat(root, F.lit("/sensors/cameras")).alias("path")).repartition("path")
+    # An explicit number of partitions: folders are small as rows, but each is a listing to wait for.
+    spark = folders.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    cameras = folders.select(F.concat(root, F.lit("/sensors/cameras")).alias("path")).repartition(tasks, "path")
     camera_folders = cameras.mapInPandas(_children, listed).where("NOT is_file").select("path")
     lidar = folders.select(F.concat(root, F.lit("/sensors/lidar")).alias("path"))
-    frames = lidar.unionByName(camera_folders).repartition("path").mapInPandas(_children, listed)
+    frames = lidar.unionByName(camera_folders).repartition(tasks, "path").mapInPandas(_children, listed)
     return keys_of_paths(frames.where("is_file").select("path"))
 
 

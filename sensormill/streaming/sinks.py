@@ -79,13 +79,18 @@ def split_late(
         mark = read_batches(spark, marks_path, marks, before=batch_id).agg(F.max("mark_ns")).first()[0]
         limit = F.lit(None if mark is None else mark - delay_ns).cast("bigint")
         late = F.coalesce(F.col(time_ns) < limit, F.lit(False))
-        write_batch(rows.where(late), late_path, batch_id)
         recent = read_batches(spark, path, rows.schema, before=batch_id)
         if mark is not None:
             recent = recent.where(F.col(time_ns) >= mark - delay_ns)
-        on_time = rows.where(~late).dropDuplicates([event_id])
-        write_batch(on_time.join(recent.select(event_id), event_id, "left_anti").select(*rows.columns), path, batch_id)
-        write_batch(rows.agg(F.max(time_ns).alias("mark_ns")).where("mark_ns IS NOT NULL"), marks_path, batch_id)
+        rows.persist()  # three writes, one read of the source
+        try:
+            write_batch(rows.where(late), late_path, batch_id)
+            on_time = rows.where(~late).dropDuplicates([event_id])
+            fresh = on_time.join(recent.select(event_id), event_id, "left_anti").select(*rows.columns)
+            write_batch(fresh, path, batch_id)
+            write_batch(rows.agg(F.max(time_ns).alias("mark_ns")).where("mark_ns IS NOT NULL"), marks_path, batch_id)
+        finally:
+            rows.unpersist()
 
     return sink
 

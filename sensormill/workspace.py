@@ -30,3 +30,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
+    """Hash rows that stand for outside work, such as paths to read, over all task slots.
+
+    The number is explicit on purpose: adaptive execution would otherwise merge partitions by the size of the path
+    strings and give one task the payloads of a hundred thousand files.
+    """
+    spark = df.sparkSession
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(max(partitions or 0, slots), column)
