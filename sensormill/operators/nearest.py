@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensormill.functions.text import format_number
@@ -21,6 +21,14 @@ def _for_each_camera(rows: DataFrame, cameras: DataFrame | Sequence[str]) -> Dat
     return rows.withColumn("sensor", F.explode(F.array(*(F.lit(c) for c in cameras))))
 
 
+def _borrowed_frames(points: DataFrame, key: Sequence[str], frame: Column) -> DataFrame:
+    """For each bin the last frame of the bins before it and the first of those after it."""
+    bins = points.groupBy(*key, BIN).agg(F.max(frame).alias("_last"), F.min(frame).alias("_first"))
+    outside = scan_bins(bins, key, {"_before": ("_last", "max", "before"), "_after": ("_first", "min", "after")})
+    stamp = F.explode(F.array_compact(F.array("_before", "_after"))).alias("timestamp_ns")
+    return outside.select(*key, BIN, stamp, F.lit(FRAME).alias("_kind"))
+
+
 def nearest_frames(
     sweeps: DataFrame, frames: DataFrame, cameras: DataFrame | Sequence[str], bin_ns: float | None = None
 ) -> DataFrame:
@@ -32,28 +40,24 @@ def nearest_frames(
     plus one sort, however long a log is. A camera without frames keeps its rows, with NULL for the frame.
     """
     key = ["log_id", "sensor"]
-    width = bin_ns or bin_width(frames, "timestamp_ns")
+    stamps = sweeps.select("timestamp_ns").unionByName(frames.select("timestamp_ns"))
+    width = bin_ns or bin_width(stamps, "timestamp_ns")
     targets = _for_each_camera(sweeps.select("log_id", "timestamp_ns"), cameras)
     line = targets.select(*key, "timestamp_ns", F.lit(SWEEP).alias("_kind")).unionByName(
         frames.select(*key, "timestamp_ns", F.lit(FRAME).alias("_kind"))
     )
     # One column for both marks: whoever reads the merged line reads the same columns, so its shuffle is done once.
-    points = line.groupBy(*key, bin_of(F.col("timestamp_ns"), width).alias(BIN), "timestamp_ns").agg(
-        F.bit_or("_kind").alias("_kind")
-    )
+    number = F.lit(0).cast("bigint") if width is None else bin_of(F.col("timestamp_ns"), width)
+    points = line.groupBy(*key, number.alias(BIN), "timestamp_ns").agg(F.bit_or("_kind").alias("_kind"))
     frame = F.when(F.col("_kind").bitwiseAND(FRAME) != 0, F.col("timestamp_ns"))
-    bins = points.groupBy(*key, BIN).agg(F.max(frame).alias("_last"), F.min(frame).alias("_first"))
-    outside = scan_bins(bins, key, {"_before": ("_last", "max", "before"), "_after": ("_first", "min", "after")})
-    borrowed = outside.select(
-        *key, BIN, F.explode(F.array_compact(F.array("_before", "_after"))).alias("timestamp_ns"), F.lit(FRAME).alias("_kind")
-    )
+    if width is not None:
+        points = points.unionByName(_borrowed_frames(points, key, frame))
     inside = Window.partitionBy(*key, BIN)
     so_far = (Window.unboundedPreceding, Window.currentRow)
     before, after, sweep = F.col("_before"), F.col("_after"), F.col("timestamp_ns")
     chosen = F.when(before.isNull(), after).when(after - sweep < sweep - before, after).otherwise(before)
     return (
-        points.unionByName(borrowed)
-        .withColumn("_frame", frame)
+        points.withColumn("_frame", frame)
         .withColumn("_before", F.max("_frame").over(inside.orderBy("timestamp_ns").rowsBetween(*so_far)))
         .withColumn("_after", F.min("_frame").over(inside.orderBy(F.desc("timestamp_ns")).rowsBetween(*so_far)))
         .where(F.col("_kind").bitwiseAND(SWEEP) != 0)

@@ -34,18 +34,16 @@ def bin_of(value: Column, width: int | float) -> Column:
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
-def bin_width(df: DataFrame, value: str, rows_per_bin: int = ROWS_PER_BIN) -> float:
+def bin_width(df: DataFrame, value: str, rows_per_bin: int = ROWS_PER_BIN) -> float | None:
     """Width at which a group holding all rows would get ``rows_per_bin`` per bin, from one light aggregation.
 
-    A small table ends up in one bin. Callers who know the rate of their sensors pass a width and save the pass.
+    None if the whole table is no larger than one bin may be: then no group needs to be cut. Callers who know the rate
+    of their sensors pass a width and save the pass.
     """
-    n, low, high = df.agg(F.count(value), F.min(value), F.max(value)).first()
-    if not n:
-        return 1.0
-    bins = max(1, -(-n // rows_per_bin))
-    # One bin starts at zero, so a range across zero still needs two; the width covers the greater side.
-    spread = high - low if bins > 1 else max(abs(low), abs(high))
-    width = float(spread) / bins * (1 + 1e-9) + (1.0 if isinstance(low, int) else 0.0)
+    n, low, high = df.agg(F.count(F.lit(1)), F.min(value), F.max(value)).first()
+    if n <= rows_per_bin:
+        return None
+    width = 0.0 if low is None else float(high - low) / -(-n // rows_per_bin)
     return width if 0 < width < math.inf else 1.0
 
 
@@ -109,7 +107,11 @@ def with_previous(
 
     Equals ``lag`` over the whole group ordered by time, ties and payload.
     """
-    binned = df.withColumn(BIN, bin_of(F.col(time), width or bin_width(df, time))).withColumn("_row", F.struct(time, *ties, *payload))
+    row = F.struct(time, *ties, *payload)
+    width = width or bin_width(df, time)
+    if width is None:
+        return df.withColumn(name, F.lag(row).over(Window.partitionBy(*keys).orderBy(row)))
+    binned = df.withColumn(BIN, bin_of(F.col(time), width)).withColumn("_row", row)
     ends = binned.groupBy(*keys, BIN).agg(F.max("_row").alias("_last"))
     borrowed = scan_bins(ends, keys, {"_row": ("_last", "max", "before")}).where(F.col("_row").isNotNull())
     rows = binned.withColumn("_own", F.lit(True)).unionByName(
@@ -123,7 +125,10 @@ def with_position(
     df: DataFrame, keys: Sequence[str], order: str, width: float | None = None, name: str = "position"
 ) -> DataFrame:
     """Add the zero-based position of each row in its group; ``order`` is unique within the group."""
-    binned = df.withColumn(BIN, bin_of(F.col(order), width or bin_width(df, order)))
+    width = width or bin_width(df, order)
+    if width is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint") - 1)
+    binned = df.withColumn(BIN, bin_of(F.col(order), width))
     sizes = binned.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_size"))
     borrowed = scan_bins(sizes, keys, {"_n": ("_size", "sum", "before")})
     rows = binned.withColumns({"_n": F.lit(1).cast("bigint"), "_own": F.lit(True)}).unionByName(
@@ -133,26 +138,20 @@ def with_position(
     return rows.withColumn(name, F.sum("_n").over(so_far) - 1).where("_own").drop(BIN, "_n", "_own")
 
 
-def distribution(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    percents: Sequence[int],
-    width: float | None = None,
-    extra: Mapping[str, Column] | None = None,
-) -> DataFrame:
-    """Per group: ``n``, ``n_null``, ``min``, ``max`` and exact nearest-rank percentiles ``p<percent>``.
+def _ranks(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Add ``_to``, the rank of the last copy of each value, and ``_total``; NULLs have no rank."""
+    ranking = F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0)
+    group = Window.partitionBy(*keys)
+    so_far = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return counted.withColumn("_to", F.sum(ranking).over(so_far)).withColumn("_total", F.sum(ranking).over(group))
 
-    The percentile is the value of rank ceil(n * percent / 100). Equal values are counted before the shuffle, ranks
-    come from running counts inside bins of the value. The counted values are needed three times, so they are written
-    once and whatever leads to them runs once. ``extra`` adds aggregates over ``value`` and ``copies``.
-    """
-    counted = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies")), "counted-values")
-    number = bin_of(F.col(value), width or bin_width(counted, value))
-    if isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType)):
+
+def _ranks_by_bin(counted: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+    number = bin_of(F.col(value), width)
+    if isinstance(counted.schema[value].dataType, (T.FloatType, T.DoubleType)):
         number = F.when(F.isnan(value), F.lit(_LAST_BIN)).otherwise(number)  # NaN sorts behind all numbers
-    counted = counted.withColumn(BIN, number)
-    sizes = counted.groupBy(*keys, BIN).agg(
+    binned = counted.withColumn(BIN, number)
+    sizes = binned.groupBy(*keys, BIN).agg(
         F.sum(F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0)).alias("_size")
     )
     scanned = scan_bins(
@@ -165,10 +164,10 @@ def distribution(
         (F.col("_lower") + F.col("_size") + F.col("_upper")).alias("_total"),
         F.lit(False).alias("_own"),
     )
-    rows = counted.withColumn("_own", F.lit(True)).unionByName(borrowed, allowMissingColumns=True)
+    rows = binned.withColumn("_own", F.lit(True)).unionByName(borrowed, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, BIN).orderBy("_own", value).rowsBetween(Window.unboundedPreceding, 0)
     # The borrowed row comes first in its bin, so what it carries reaches all rows of the bin.
-    ranked = rows.select(
+    return rows.select(
         *keys,
         value,
         "copies",
@@ -177,6 +176,25 @@ def distribution(
         "_own",
     ).where("_own")
 
+
+def distribution(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    percents: Sequence[int],
+    width: float | None = None,
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Per group: ``n``, ``n_null``, ``min``, ``max`` and exact nearest-rank percentiles ``p<percent>``.
+
+    The percentile is the value of rank ceil(n * percent / 100). Equal values are counted before the shuffle, ranks
+    come from running counts inside bins of the value. The counted values are needed three times, so they are written
+    once and whatever leads to them runs once. ``extra`` adds aggregates over ``value`` and ``copies``.
+    """
+    counted = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies")), "counted-values")
+    width = width or bin_width(counted, value)
+    ranked = _ranks(counted, keys, value) if width is None else _ranks_by_bin(counted, keys, value, width)
+
     def at(percent: int) -> Column:
         rank = F.greatest(F.lit(1), F.floor((F.col("_total") * percent + 99) / 100))
         hit = (F.col("_to") - F.col("copies") < rank) & (rank <= F.col("_to")) & F.col(value).isNotNull()

@@ -34,9 +34,9 @@ def _sweeps(frames: DataFrame) -> DataFrame:
     return frames.where("sensor = 'click'")
 
 
-def _all_skews(spark: SparkSession, folder: str) -> DataFrame:
+def _all_skews(spark: SparkSession, folder: str, bin_ns: int | None = None) -> DataFrame:
     frames = event_frames(spark, folder)
-    return nearest_frames(_sweeps(frames), frames.where("sensor <> 'click'"), CAMERAS)
+    return nearest_frames(_sweeps(frames), frames.where("sensor <> 'click'"), CAMERAS, bin_ns)
 
 
 _TARGETS = f"""{EVENT_FRAMES_SQL}, cameras(sensor) AS (VALUES {_CAMERAS_SQL}),
@@ -53,7 +53,8 @@ skews AS (SELECT t.log_id, t.sensor, t.sweep_ns, b.frame_ns, b.frame_ns - t.swee
 
 @query(f"WITH {_SKEWS} SELECT * FROM skews")
 def nearest_skew(spark: SparkSession, folder: str) -> DataFrame:
-    return _all_skews(spark, folder)
+    """With bins of five days, as for sensors of a known rate."""
+    return _all_skews(spark, folder, 5 * DAY_NS)
 
 
 def _rank_sql(rows: str, by: str, value: str, percents: tuple[int, ...]) -> str:
@@ -150,7 +151,8 @@ steps AS (SELECT log_id, event_id, timestamp_ns - t0 AS step_ns, sqrt((x - x0) *
 round(angle_rad, 5) AS angle_rad FROM steps"""
 )
 def pose_step_measures(spark: SparkSession, folder: str) -> DataFrame:
-    steps = pose_steps(_poses(spark, folder), payload_ties=["event_id"])
+    """With bins of ten days, as for poses of a known rate."""
+    steps = pose_steps(_poses(spark, folder), bin_ns=10 * DAY_NS, payload_ties=["event_id"])
     return steps.select(
         "log_id",
         "event_id",

@@ -103,3 +103,20 @@ def test_skew_distribution_keeps_empty_cameras(spark):
     rows = {r.sensor: r for r in skew_distribution(skews).collect()}
     assert (rows["x"].n_sweeps, rows["x"].min_ns, rows["x"].p50, rows["x"].max_ns) == (3, -5, 3, 5)
     assert (rows["y"].n_sweeps, rows["y"].n_without_frame, rows["y"].p50) == (1, 1, None)
+
+
+def test_width_follows_the_size_and_the_range(spark):
+    df = spark.range(1000).select((F.col("id") * 10).alias("t"), F.lit(None).cast("bigint").alias("none"))
+    assert ordered.bin_width(df, "t") is None
+    assert ordered.bin_width(df, "t", rows_per_bin=100) == pytest.approx(999.0)
+    assert ordered.bin_width(df, "none", rows_per_bin=100) == 1.0
+
+
+def test_large_tables_are_cut_and_small_ones_are_not(spark, monkeypatch):
+    df = spark.range(500).select((F.col("id") % 2).alias("k"), (F.col("id") * 3).alias("t"))
+    plain = ordered.with_previous(df, ["k"], "t")
+    assert "_bin" not in plain._jdf.queryExecution().toString()
+    monkeypatch.setattr(ordered.bin_width, "__defaults__", (20,))
+    cut = ordered.with_previous(df, ["k"], "t")
+    assert "_bin" in cut._jdf.queryExecution().toString()
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
