@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensormill.functions.canonical import fingerprint
-from sensormill.functions.timing import epoch_ns
 from sensormill.operators import blobs, releases
 from sensormill.queries.encodings import _LANES, _int, _row, _text
 from sensormill.queries.registry import EVENT_FRAMES_SQL, event_frames, query, table

@@ -7,7 +7,7 @@ from sensormill.operators import ledger as ledgers
 from sensormill.operators.integrity import dangling_calibrations, lidar_references
 from sensormill.operators.multiset import compare, differences, same_rows
 from sensormill.operators.normalise import canonical_tables, unreadable_stamps
-from sensormill.plans.ingest import ingest, plan_commits, write_tables
+from sensormill.plans.ingest import ingest, plan_commits
 from sensormill.plans.reconcile import active_rows, reconcile, reconcile_keys
 from sensormill.plans.store import ParquetStore, next_snapshot_id
 from sensormill.sources.files import hash_files, list_files, log_folders, log_list
