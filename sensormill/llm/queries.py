@@ -44,11 +44,11 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @query(
     """WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-  FROM embeddings WHERE embedding IS NOT NULL AND NOT list_contains(list_transform(embedding, x -> coalesce(isfinite(x), false)), false)),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND NOT list_contains(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), false)),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
   FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
