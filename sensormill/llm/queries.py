@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensormill.llm import decontaminate, html_tree, secret_ledger, substring_dedup, suffix_dedup, topk, urls
+from sensormill.llm import decontaminate, html_tree, jaccard, quality, secret_ledger, substring_dedup, suffix_dedup, topk, urls
 from sensormill.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,20 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"), width=13)
 
 
+@query()
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and chance of the top grade of every document."""
+    docs = table(spark, folder, "documents")
+    scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, table(spark, folder, "labels")))
+    return scored.selectExpr("doc_id", "expected_grade", "p_top", "p_top >= 0.5 AS kept")
+
+
+@query()
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document at 0.8 over five-word shingles."""
+    return jaccard.linked(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
 @query()
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes under 400-byte strings that start more than once are removed."""
