@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensormill.llm import decontaminate, html_tree, jaccard, quality, secret_ledger, substring_dedup, suffix_dedup, topk, urls
+from sensormill.llm import decontaminate, html_tree, jaccard, mixing, quality, secret_ledger, substring_dedup, suffix_dedup, topk, urls
 from sensormill.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents"), width=400)
 
 
+@query()
+def op3_mixing_to_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of 150 % of all words takes from every document, by entropy balancing per source."""
+    return mixing.mixed(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query()
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of documents inside any occurrence of ten consecutive benchmark words."""
