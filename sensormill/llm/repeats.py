@@ -9,7 +9,7 @@ Shared by the two deduplicators, which differ in their units (words or bytes) an
    have to be compared one by one (``open`` rows): the rims of repeated passages. The range partitioner cuts a seed or
    context held by a third of all rows into as many partitions as it needs, and each Arrow batch is judged by itself:
    what cannot be settled inside a batch is passed on as open, so no state and no group is ever held.
-3. *Windows of open rows* are fingerprinted from the texts and grouped.
+3. *Windows of open rows* are fingerprinted from the texts, sorted and judged in the same way.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from sensormill.workspace import materialise
 
 Units = Callable[[bytes], np.ndarray]
 ANCHORS = f"seed long, context long, {KEY} long, first long, windows int, offset int"
+WINDOW = ["head", "tail", KEY, "first"]
 SETTLED = f"{KEY} long, first long, windows int, offset int, open boolean"
 
 
@@ -76,26 +77,26 @@ def settle(anchors: DataFrame, judge: Callable) -> DataFrame:
     return materialise(ordered.mapInArrow(scan, SETTLED), "settled")
 
 
-def open_windows(rows: DataFrame, settled: DataFrame, units: Units, width: int) -> DataFrame:
-    """(window, _row, first) for every window of the open rows; ``window`` is its fingerprint at twice 64 bits."""
+def open_windows(rows: DataFrame, settled: DataFrame, units: Units, width: int, span: int) -> DataFrame:
+    """(head, tail, _row, first) for every window of the open rows.
+
+    A window is named by two fingerprints of ``span`` units, at its begin and at its end, which together cover it.
+    """
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = width // 2
         for batch in batches:
             out: list[list[np.ndarray]] = [[] for _ in range(4)]
             columns = [batch[c].to_pylist() for c in (KEY, "packed", "firsts", "counts")]
             for key, packed, firsts, counts in zip(*columns, strict=True):
-                values = units(unpack(packed))
+                names = fingerprints.windows(units(unpack(packed)), span).view(np.int64)
                 counts = np.asarray(counts)
                 runs = np.cumsum(counts) - counts
                 starts = np.repeat(np.asarray(firsts) - runs, counts) + np.arange(counts.sum())
-                out[0].append(fingerprints.windows(values, half)[starts].view(np.int64))
-                out[1].append(fingerprints.windows(values, width - half)[starts + half].view(np.int64))
-                out[2].append(np.full(len(starts), key))
-                out[3].append(starts)
+                for column, value in zip(out, (names[starts], names[starts + width - span], np.full(len(starts), key), starts), strict=True):
+                    column.append(value)
             if out[0]:
                 arrays = [pa.array(np.concatenate(c)) for c in out]
-                yield pa.RecordBatch.from_arrays(arrays, ["head", "tail", KEY, "first"])
+                yield pa.RecordBatch.from_arrays(arrays, WINDOW)
 
     wanted = (
         settled.filter("open")
@@ -104,7 +105,32 @@ def open_windows(rows: DataFrame, settled: DataFrame, units: Units, width: int)
         .select(KEY, F.col("w.first").alias("firsts"), F.col("w.windows").alias("counts"))
     )
     found = compressed(rows).join(wanted, KEY).select(KEY, "packed", "firsts", "counts")
-    return materialise(found.mapInArrow(spell, f"head long, tail long, {KEY} long, first long"), "windows")
+    return found.mapInArrow(spell, f"head long, tail long, {KEY} long, first long")
+
+
+def repeated_windows(found: DataFrame, decide: Callable, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(_row, first) of the windows that have to go.
+
+    The windows are sorted like the anchors and judged batch by batch. ``decide`` gives the rows that go for certain and
+    those at a batch's rim, whose equals may stand in the next batch or partition: a few per batch, left to ``resolve``.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            head, tail, key = (batch[c].to_numpy() for c in WINDOW[:3])
+            new = np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])])
+            sure, rim = decide(key, np.cumsum(new) - 1, np.flatnonzero(new))
+            for flags, certain in ((sure, True), (rim & ~sure, False), (rim & sure, False)):
+                keep = pa.array(np.flatnonzero(flags))
+                if len(keep):
+                    columns = [batch[c].take(keep) for c in WINDOW]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(keep), certain))], [*WINDOW, "sure"])
+
+    ordered = found.repartitionByRange(*WINDOW).sortWithinPartitions(*WINDOW)
+    judged = materialise(ordered.mapInArrow(scan, f"head long, tail long, {KEY} long, first long, sure boolean"), "windows")
+    return judged.filter("sure").select(KEY, "first").unionByName(resolve(judged.filter("NOT sure")).select(KEY, "first"))
 
 
 def removal_spans(settled: DataFrame, repeated: DataFrame, width: int) -> DataFrame:

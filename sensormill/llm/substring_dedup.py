@@ -39,6 +39,19 @@ def _judge(key: np.ndarray, kind: np.ndarray, leaders: np.ndarray, many: np.ndar
     return ~own, own & many
 
 
+def _decide(key: np.ndarray, kind: np.ndarray, leaders: np.ndarray):
+    """Windows go where the same window of an earlier document stands before them in the batch."""
+    own = key == key[leaders][kind]
+    rim = own & (kind == 0)
+    rim[leaders[-1]] = True
+    return ~own, rim
+
+
+def _later(rim: DataFrame) -> DataFrame:
+    earliest = rim.groupBy("head", "tail").agg(F.min(KEY).alias("earliest"))
+    return rim.join(earliest, ["head", "tail"]).filter(F.col(KEY) > F.col("earliest"))
+
+
 def _judge_nothing(key: np.ndarray, kind: np.ndarray, leaders: np.ndarray, many: np.ndarray):
     """Every anchor whose seed is met twice stays open."""
     return np.zeros(len(key), dtype=bool), many | (np.bincount(kind)[kind] > 1)
@@ -46,10 +59,8 @@ def _judge_nothing(key: np.ndarray, kind: np.ndarray, leaders: np.ndarray, many:
 
 def repeated_spans(rows: DataFrame, width: int) -> DataFrame:
     settled = repeats.settle(repeats.anchor_rows(rows, units, width, min(SEED_WORDS, width)), _judge)
-    found = repeats.open_windows(rows, settled, units, width)
-    earliest = found.groupBy("head", "tail").agg(F.min(KEY).alias("earliest"))
-    later = found.join(earliest, ["head", "tail"]).filter(F.col(KEY) > F.col("earliest"))
-    return repeats.removal_spans(settled, later, width)
+    found = repeats.open_windows(rows, settled, units, width, -(-width // 2))
+    return repeats.removal_spans(settled, repeats.repeated_windows(found, _decide, _later), width)
 
 
 def remove_repeats(docs: DataFrame, width: int = 13, with_text: bool = False) -> DataFrame:
@@ -66,7 +77,7 @@ def spans_by_id(rows: DataFrame, width: int) -> DataFrame:
     rank = rows.join(first, rows.doc_id.eqNullSafe(first.doc_id)).select(KEY, "id_row")
     anchors = repeats.anchor_rows(rows, units, width, min(SEED_WORDS, width))
     settled = repeats.settle(anchors, _judge_nothing)
-    found = repeats.open_windows(rows, settled, units, width).join(rank, KEY)
+    found = repeats.open_windows(rows, settled, units, width, -(-width // 2)).join(rank, KEY)
     earliest = found.groupBy("head", "tail").agg(F.min("id_row").alias("earliest"))
     later = found.join(earliest, ["head", "tail"]).filter(F.col("id_row") > F.col("earliest"))
     return repeats.removal_spans(settled, later, width)

@@ -2,14 +2,14 @@
 
 The suffixes of all texts are compared by (position, rank) pairs at growing offsets, Spark doing the sorting:
 
-* First ranks: prefixes of half the threshold, 200 bytes. Every 400-byte string owns one sampled start of such a prefix
-  (its smallest by hash), so only every 90th suffix has to enter the sort. A suffix whose rank is unique drops out, and
-  suffixes that agree in all that their sample stands for are settled together.
-* Doubling: the suffixes still open are ranked by the pair (rank of their first 200 bytes, rank of the 200 bytes at
-  offset 200), which is their order at the threshold, where doubling stops.
+* First ranks: prefixes of three quarters of the threshold, 300 bytes. Every 400-byte string owns one sampled start of
+  such a prefix (its smallest by hash), so only every 50th suffix has to enter the sort. A suffix whose rank is unique
+  drops out, and suffixes that agree in all that their sample stands for are settled together.
+* Doubling: the suffixes still open are sorted by the pair (rank of their first 300 bytes, rank of the 300 bytes that
+  end at the threshold). Twice 300 is past the threshold, so the two prefixes overlap and doubling stops here.
 
 Ranks are 64-bit fingerprints instead of dense numbers: they name equal prefixes alike without a global count. Doubling
-over every suffix would sort 16 bytes or more per byte of text in every round; the sample makes that 0.3.
+over every suffix would sort 16 bytes or more per byte of text in every round; the sample makes that 0.5.
 
 A byte goes if a ``width``-byte string over it also starts anywhere else, in the same text or another one. Strings are
 judged on the input and never cross texts. NULL counts as empty; texts shorter than the threshold lose nothing; repeated
@@ -43,11 +43,22 @@ def _judge(key: np.ndarray, kind: np.ndarray, leaders: np.ndarray, many: np.ndar
     return np.bincount(kind)[kind] > 1, first & many
 
 
+def _decide(key: np.ndarray, kind: np.ndarray, leaders: np.ndarray):
+    """Windows met twice in the batch go; the first and the last row may have their equals elsewhere."""
+    rim = np.zeros(len(key), dtype=bool)
+    rim[[0, -1]] = True
+    return np.bincount(kind)[kind] > 1, rim
+
+
+def _twice(rim: DataFrame) -> DataFrame:
+    return rim.join(rim.groupBy("head", "tail").count().filter("count > 1"), ["head", "tail"])
+
+
 def repeated_spans(rows: DataFrame, width: int) -> DataFrame:
-    settled = repeats.settle(repeats.anchor_rows(rows, units, width, max(width // 2, 1)), _judge)
-    found = repeats.open_windows(rows, settled, units, width)
-    twice = found.groupBy("head", "tail").count().filter("count > 1")
-    return repeats.removal_spans(settled, found.join(twice, ["head", "tail"]), width)
+    first = max(width * 3 // 4, 1)
+    settled = repeats.settle(repeats.anchor_rows(rows, units, width, first), _judge)
+    found = repeats.open_windows(rows, settled, units, width, first)
+    return repeats.removal_spans(settled, repeats.repeated_windows(found, _decide, _twice), width)
 
 
 def remove_repeats(docs: DataFrame, width: int = 400, with_bytes: bool = False) -> DataFrame:
