@@ -15,9 +15,9 @@ from sensormill.workspace import materialise
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are more likely of the top grade than not; poor and toxic ones go."""
+    """Documents whose chance of the top grade is high enough; poor and toxic ones go."""
     ship(spark)
-    return quality.select(docs, table(spark, sf_dir, "labels"), least=0.5)
+    return quality.select(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ first 4, 5 and 6 characters of its words, and marks of its shape (how common cap
 are, in coarse steps).
 
 The model is fitted on at most ``SAMPLE`` labelled rows, those with the smallest hash of their id, so a rerun and a
-larger table behave alike. Features in fewer than ``SEEN`` rows of the sample have weight 0. The model is therefore of
-bounded size and travels with the tasks; scoring is a map over all documents, with no shuffle.
+larger table behave alike. Features in fewer than ``SEEN`` rows of the sample, and those that go with no grade beyond
+chance, have weight 0. The model is therefore of bounded size and travels with the tasks; scoring is a map over all
+documents, with no shuffle.
 
 Labels with NULL grade parts or without a document are left out; repeated labels count repeatedly. If no two grades are
 present, the model is empty and everything is kept. NULL and empty texts have no features and get the score 0. All
@@ -29,15 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensormill.llm.decontaminate import words_of
+from sensormill.workspace import materialise
 
 #: Labelled rows used for fitting, and how many of them must have a feature.
-SAMPLE = 8000
+SAMPLE = 20_000
 SEEN = 4
 #: Standard deviations from chance that make a feature count.
 SURE = 4.0
 RIDGE = 0.00003
 ROUNDS = 80
 CACHE = 200_000
+#: Chance of the top grade from which a document is selected.
+LEAST = 0.6
 
 
 def grade(quality: int, toxic: int) -> int:
@@ -102,20 +106,12 @@ class Model:
         return first, second
 
 
-def fit_rows(features: list[np.ndarray], grades: np.ndarray) -> Model:
-    """Penalised maximum likelihood, grades weighing alike; feature sets as arrays of hashes."""
-    present = np.unique(grades)
+def fit_rows(rows: np.ndarray, place: np.ndarray, hashes: np.ndarray, grades: np.ndarray) -> Model:
+    """Penalised maximum likelihood, grades weighing alike; row ``rows[i]`` has the feature ``hashes[place[i]]``."""
+    present, n, width = np.unique(grades), len(grades), len(hashes)
     if len(present) < 2:
         return Model({}, (-1.0, -1.0))
-    sizes = np.array([len(f) for f in features])
-    hashes, column = np.unique(np.concatenate(features), return_inverse=True)
-    rows = np.repeat(np.arange(len(features)), sizes)
-    seen = telling(column, len(hashes), rows, grades)
-    rows = rows[seen[column]]
-    place = (np.cumsum(seen) - 1)[column[seen[column]]]
-    hashes, n = hashes[seen], len(grades)
-    width = len(hashes)
-    share = n / (len(present) * np.bincount(grades, minlength=3)[grades]) / n
+    share = 1 / (len(present) * np.bincount(grades, minlength=3)[grades])
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         """Value and gradient; the last two are the first cut and the logarithm of its distance to the second."""
@@ -140,18 +136,6 @@ def fit_rows(features: list[np.ndarray], grades: np.ndarray) -> Model:
     return Model(weights, (float(w[-2]), float(w[-2] + np.exp(np.clip(w[-1], -20, 20)))))
 
 
-def telling(column: np.ndarray, width: int, rows: np.ndarray, grades: np.ndarray) -> np.ndarray:
-    """Features in enough rows whose share of some grade and above differs from the sample's beyond chance."""
-    seen, n = np.bincount(column, minlength=width), len(grades)
-    out = np.zeros(width, dtype=bool)
-    for k in (1, 2):
-        share = (grades >= k).mean()
-        above = np.bincount(column, weights=(grades >= k)[rows], minlength=width)
-        spread = np.sqrt(np.maximum(seen * share * (1 - share) * (n - seen) / max(n - 1, 1), 1e-9))
-        out |= np.abs(above - seen * share) > SURE * spread
-    return out & (seen >= SEEN)
-
-
 def descend(loss, w: np.ndarray, rounds: int = ROUNDS, memory: int = 8) -> np.ndarray:
     """Limited-memory quasi-Newton descent with step halving."""
     value, gradient = loss(w)
@@ -189,23 +173,58 @@ def descend(loss, w: np.ndarray, rounds: int = ROUNDS, memory: int = 8) -> np.nd
     return w
 
 
+def telling(rated: DataFrame) -> DataFrame:
+    """(feature,): those in enough rows whose share of some grade and above differs from the sample's beyond chance."""
+    counts = {f"above{k}": F.sum((F.col("grade") >= k).cast("double")) for k in (1, 2)}
+    total = rated.agg(F.count("*").alias("rows"), *(c.alias("all_" + n) for n, c in counts.items()))
+    seen = rated.select("grade", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("seen"), *(c.alias(n) for n, c in counts.items())
+    )
+    known = total.first()
+    test = F.lit(False)
+    for name in counts:
+        share = (known["all_" + name] or 0.0) / max(known["rows"], 1)
+        spread = F.sqrt(F.col("seen") * share * (1 - share) * (known["rows"] - F.col("seen")) / max(known["rows"] - 1, 1))
+        test = test | (F.abs(F.col(name) - F.col("seen") * share) > SURE * F.greatest(spread, F.lit(1e-4)))
+    return seen.filter((F.col("seen") >= SEEN) & test).select("feature")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model from at most ``sample`` labelled rows; features are made in tasks, the rest is one small array job."""
+    """The model from at most ``sample`` labelled rows.
+
+    Features are made and counted in tasks; only the telling ones, about one row in a hundred, reach the driver, where
+    the likelihood of the sample is maximised.
+    """
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            sets = [np.fromiter(s, dtype=np.int64) for s in (features.of(b) for b in batch["body"].to_pylist())]
-            packed = pa.array([s.astype(np.uint32).tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["grade"], packed], ["grade", "features"])
+            sets = [sorted(features.of(b)) for b in batch["body"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["grade"], pa.array(sets, pa.list_(pa.int64()))], ["grade", "features"])
 
     parts = labels.select("doc_id", "quality", "toxic").dropna()
     chosen = parts.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(sample)
     grades = F.when(F.col("quality") == 0, 0).when(F.col("toxic") != 0, 1).otherwise(2)
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("body")).filter("body IS NOT NULL")
-    rated = rows.join(chosen, "doc_id").select(grades.alias("grade"), "body").mapInArrow(featurise, "grade int, features binary")
-    found = sorted((r.grade, bytes(r.features)) for r in rated.collect())  # at most ``sample`` rows
-    return fit_rows([np.frombuffer(f, dtype=np.uint32) for _, f in found], np.array([g for g, _ in found], dtype=np.int64))
+    picked = rows.join(chosen, "doc_id").select(grades.alias("grade"), "body")
+    rated = materialise(picked.mapInArrow(featurise, "grade int, features array<long>"), "rated")
+    hashes = np.array(sorted(r.feature for r in telling(rated).collect()), dtype=np.int64)  # bounded by the sample
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for own in batch["features"].to_pylist():
+                own = np.asarray(own, dtype=np.int64)
+                at = np.searchsorted(hashes, own)
+                found = at[(at < len(hashes)) & (hashes[np.minimum(at, len(hashes) - 1)] == own)] if len(hashes) else at[:0]
+                kept.append(found.astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch["grade"], pa.array(kept, pa.binary())], ["grade", "places"])
+
+    found = sorted((r.grade, bytes(r.places)) for r in rated.mapInArrow(narrow, "grade int, places binary").collect())
+    places = [np.frombuffer(p, dtype=np.int32) for _, p in found]
+    owners = np.repeat(np.arange(len(places)), [len(p) for p in places])
+    joined = np.concatenate(places) if places else np.zeros(0, dtype=np.int32)
+    return fit_rows(owners, joined, hashes, np.array([g for g, _ in found], dtype=np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -229,7 +248,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(predict, f"{kinds}, expected_grade double, p_top double")
 
 
-def select(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
     """The documents whose chance of the top grade is at least ``least``, with their own columns."""
     others = F.struct(F.lit(0).alias("_"), *(F.col(c) for c in docs.columns if c != "text"))
     scored = score(docs.select("text", others.alias("_others")), fit(docs, labels)).filter(F.col("p_top") >= least)

@@ -32,10 +32,10 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents selected from all: those more likely of the top grade than not, with their expected grade."""
+    """The documents selected from all: those with a high enough chance of the top grade, with their expected grade."""
     docs = table(spark, folder, "documents")
     scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, table(spark, folder, "labels")))
-    return scored.filter("p_top >= 0.5").select("doc_id", "expected_grade", "p_top")
+    return scored.filter(scored.p_top >= quality.LEAST).select("doc_id", "expected_grade", "p_top")
 
 
 @query()
@@ -90,6 +90,18 @@ SELECT page_id, host, path, split_part(r, ' ', 2) AS rule,
 FROM r"""
 
 
+@query()
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document at 0.8 over five-word shingles."""
+    return jaccard.linked(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query()
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes under 400-byte strings that start more than once are removed."""
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), width=400)
+
+
 @query(_url_sql())
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Host rules and weighted url vocabulary."""
