@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sensormill.functions.text import format_number
 from sensormill.functions.timing import ns_to_ms
-from sensormill.operators.ordered import BIN, bin_of, bin_width, distribution, scan_bins
+from sensormill.operators.ordered import BIN, binned, distribution, scan_bins
 
 SWEEP, FRAME = 1, 2
 
@@ -34,35 +34,33 @@ def nearest_frames(
 ) -> DataFrame:
     """The nearest frame of every camera for every distinct sweep (log_id, timestamp_ns).
 
-    Sweeps and frames are merged on one time line per camera and cut into bins; without ``bin_ns`` their width follows
-    the density of the frames. Inside a bin the last frame at or before and the first at or after a sweep are running
+    Sweeps and frames are merged on one time line per camera and cut into bins, of like size without ``bin_ns``. Inside a bin the last frame at or before and the first at or after a sweep are running
     maxima and minima; of other bins it borrows the last frame before and the first after. The work is linear in rows
     plus one sort, however long a log is. A camera without frames keeps its rows, with NULL for the frame.
     """
     key = ["log_id", "sensor"]
-    stamps = sweeps.select("timestamp_ns").unionByName(frames.select("timestamp_ns"))
-    width = bin_ns or bin_width(stamps, "timestamp_ns")
     targets = _for_each_camera(sweeps.select("log_id", "timestamp_ns"), cameras)
     line = targets.select(*key, "timestamp_ns", F.lit(SWEEP).alias("_kind")).unionByName(
         frames.select(*key, "timestamp_ns", F.lit(FRAME).alias("_kind"))
     )
     # One column for both marks: whoever reads the merged line reads the same columns, so its shuffle is done once.
-    number = F.lit(0).cast("bigint") if width is None else bin_of(F.col("timestamp_ns"), width)
-    points = line.groupBy(*key, number.alias(BIN), "timestamp_ns").agg(F.bit_or("_kind").alias("_kind"))
+    marked = line.groupBy(*key, "timestamp_ns").agg(F.bit_or("_kind").alias("_kind"))
+    points = binned(marked, key, ["timestamp_ns"], bin_ns)
     frame = F.when(F.col("_kind").bitwiseAND(FRAME) != 0, F.col("timestamp_ns"))
-    if width is not None:
-        points = points.unionByName(_borrowed_frames(points, key, frame))
+    points = points.unionByName(_borrowed_frames(points, key, frame))
     inside = Window.partitionBy(*key, BIN)
     so_far = (Window.unboundedPreceding, Window.currentRow)
     before, after, sweep = F.col("_before"), F.col("_after"), F.col("timestamp_ns")
-    chosen = F.when(before.isNull(), after).when(after - sweep < sweep - before, after).otherwise(before)
+    ahead, behind = (F.try_subtract(a, b) for a, b in ((after, sweep), (sweep, before)))  # NULL: beyond 64 bits, far
+    nearer = ahead.isNotNull() & (behind.isNull() | (ahead < behind))
+    chosen = F.when(before.isNull(), after).when(after.isNotNull() & nearer, after).otherwise(before)
     return (
         points.withColumn("_frame", frame)
         .withColumn("_before", F.max("_frame").over(inside.orderBy("timestamp_ns").rowsBetween(*so_far)))
         .withColumn("_after", F.min("_frame").over(inside.orderBy(F.desc("timestamp_ns")).rowsBetween(*so_far)))
         .where(F.col("_kind").bitwiseAND(SWEEP) != 0)
         .select(*key, sweep.alias("sweep_ns"), chosen.alias("frame_ns"))
-        .withColumn("skew_ns", F.col("frame_ns") - F.col("sweep_ns"))
+        .withColumn("skew_ns", F.try_subtract("frame_ns", "sweep_ns"))
         .withColumn("skew_ms", ns_to_ms(F.col("skew_ns")))
     )
 

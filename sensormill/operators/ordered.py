@@ -5,16 +5,19 @@ what it needs from the others as one or two extra rows: the last row before it,
 before it. With these rows in place an ordinary window inside the bin gives the answer of a window over the whole group,
 and the extra rows are dropped. What a bin borrows comes from a scan of bin summaries, cut once more into blocks of
 bins. A log that holds a third of all rows is thus spread over its bins, and NULL keys group as in any grouping.
+
+Bins are range partitions by key and order, cut at sampled quantiles, whatever the size of the table. So bins hold like
+numbers of rows however the values are spread: an outlier, NaN, an infinity or a crowd of close values changes nothing.
+The rows are written with their bin, since a sample drawn again would cut elsewhere. Callers who know the rate of their
+sensors may give a fixed width instead and save that write.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sensormill.workspace import materialise
 
@@ -26,25 +29,21 @@ _LAST_BIN = 1 << 62
 _FOLD = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
-ROWS_PER_BIN = 2_000_000
-
-
 def bin_of(value: Column, width: int | float) -> Column:
-    """Bin number. It only has to grow with the value, which division in double precision keeps."""
-    return F.floor(value / F.lit(width)).cast("bigint")
+    """Bin number of a fixed width. It only has to grow with the value, which division in double precision keeps.
 
+    Bounded, so that extreme values, infinities and NaN (which sorts last) have a bin too.
+    """
+    place = F.floor(F.least(F.greatest(value / F.lit(width), F.lit(-float(_LAST_BIN))), F.lit(float(_LAST_BIN))))
+    return F.when(F.isnan(value.cast("double")), F.lit(_LAST_BIN)).otherwise(place.cast("bigint"))
 
-def bin_width(df: DataFrame, value: str, rows_per_bin: int = ROWS_PER_BIN) -> float | None:
-    """Width at which a group holding all rows would get ``rows_per_bin`` per bin, from one light aggregation.
 
-    None if the whole table is no larger than one bin may be: then no group needs to be cut. Callers who know the rate
-    of their sensors pass a width and save the pass.
-    """
-    n, low, high = df.agg(F.count(F.lit(1)), F.min(value), F.max(value)).first()
-    if n <= rows_per_bin:
-        return None
-    width = 0.0 if low is None else float(high - low) / -(-n // rows_per_bin)
-    return width if 0 < width < math.inf else 1.0
+def binned(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: float | None = None) -> DataFrame:
+    """``df`` with its bin: of a fixed width over the first of ``order``, or of like size over keys and order."""
+    if width is not None:
+        return df.withColumn(BIN, bin_of(F.col(order[0]), width))
+    cut = df.repartitionByRange(*keys, *order).withColumn(BIN, F.spark_partition_id().cast("bigint"))
+    return materialise(cut, "binned")
 
 
 def scan_bins(
@@ -108,13 +107,10 @@ def with_previous(
     Equals ``lag`` over the whole group ordered by time, ties and payload.
     """
     row = F.struct(time, *ties, *payload)
-    width = width or bin_width(df, time)
-    if width is None:
-        return df.withColumn(name, F.lag(row).over(Window.partitionBy(*keys).orderBy(row)))
-    binned = df.withColumn(BIN, bin_of(F.col(time), width)).withColumn("_row", row)
-    ends = binned.groupBy(*keys, BIN).agg(F.max("_row").alias("_last"))
+    cut = binned(df.withColumn("_row", row), keys, [time, "_row"], width)
+    ends = cut.groupBy(*keys, BIN).agg(F.max("_row").alias("_last"))
     borrowed = scan_bins(ends, keys, {"_row": ("_last", "max", "before")}).where(F.col("_row").isNotNull())
-    rows = binned.withColumn("_own", F.lit(True)).unionByName(
+    rows = cut.withColumn("_own", F.lit(True)).unionByName(
         borrowed.withColumn("_own", F.lit(False)), allowMissingColumns=True
     )
     inside = Window.partitionBy(*keys, BIN).orderBy("_row", "_own")
@@ -125,53 +121,38 @@ def with_position(
     df: DataFrame, keys: Sequence[str], order: str, width: float | None = None, name: str = "position"
 ) -> DataFrame:
     """Add the zero-based position of each row in its group; ``order`` is unique within the group."""
-    width = width or bin_width(df, order)
-    if width is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint") - 1)
-    binned = df.withColumn(BIN, bin_of(F.col(order), width))
-    sizes = binned.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_size"))
+    cut = binned(df, keys, [order], width)
+    sizes = cut.groupBy(*keys, BIN).agg(F.count(F.lit(1)).alias("_size"))
     borrowed = scan_bins(sizes, keys, {"_n": ("_size", "sum", "before")})
-    rows = binned.withColumns({"_n": F.lit(1).cast("bigint"), "_own": F.lit(True)}).unionByName(
+    rows = cut.withColumns({"_n": F.lit(1).cast("bigint"), "_own": F.lit(True)}).unionByName(
         borrowed.withColumn("_own", F.lit(False)), allowMissingColumns=True
     )
     so_far = Window.partitionBy(*keys, BIN).orderBy("_own", order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn(name, F.sum("_n").over(so_far) - 1).where("_own").drop(BIN, "_n", "_own")
 
 
-def _ranks(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def _ranks(cut: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Add ``_to``, the rank of the last copy of each value, and ``_total``; NULLs have no rank."""
-    ranking = F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0)
-    group = Window.partitionBy(*keys)
-    so_far = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return counted.withColumn("_to", F.sum(ranking).over(so_far)).withColumn("_total", F.sum(ranking).over(group))
-
-
-def _ranks_by_bin(counted: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
-    number = bin_of(F.col(value), width)
-    if isinstance(counted.schema[value].dataType, (T.FloatType, T.DoubleType)):
-        number = F.when(F.isnan(value), F.lit(_LAST_BIN)).otherwise(number)  # NaN sorts behind all numbers
-    binned = counted.withColumn(BIN, number)
-    sizes = binned.groupBy(*keys, BIN).agg(
-        F.sum(F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0)).alias("_size")
-    )
+    cut = cut.withColumn("_n", F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0))
+    sizes = cut.groupBy(*keys, BIN).agg(F.sum("_n").alias("_size"))
     scanned = scan_bins(
         sizes, keys, {"_lower": ("_size", "sum", "before"), "_upper": ("_size", "sum", "after")}, keep=["_size"]
     )
     borrowed = scanned.select(
         *keys,
         BIN,
-        F.col("_lower").alias("copies"),
+        F.col("_lower").alias("_n"),
         (F.col("_lower") + F.col("_size") + F.col("_upper")).alias("_total"),
         F.lit(False).alias("_own"),
     )
-    rows = binned.withColumn("_own", F.lit(True)).unionByName(borrowed, allowMissingColumns=True)
+    rows = cut.withColumn("_own", F.lit(True)).unionByName(borrowed, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, BIN).orderBy("_own", value).rowsBetween(Window.unboundedPreceding, 0)
     # The borrowed row comes first in its bin, so what it carries reaches all rows of the bin.
     return rows.select(
         *keys,
         value,
         "copies",
-        F.sum("copies").over(inside).alias("_to"),
+        F.sum("_n").over(inside).alias("_to"),
         F.max("_total").over(inside).alias("_total"),
         "_own",
     ).where("_own")
@@ -191,9 +172,9 @@ def distribution(
     come from running counts inside bins of the value. The counted values are needed three times, so they are written
     once and whatever leads to them runs once. ``extra`` adds aggregates over ``value`` and ``copies``.
     """
-    counted = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies")), "counted-values")
-    width = width or bin_width(counted, value)
-    ranked = _ranks(counted, keys, value) if width is None else _ranks_by_bin(counted, keys, value, width)
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
+    cut = binned(counted, keys, [value], width)
+    ranked = _ranks(cut if width is None else materialise(cut, "counted-values"), keys, value)
 
     def at(percent: int) -> Column:
         rank = F.greatest(F.lit(1), F.floor((F.col("_total") * percent + 99) / 100))

@@ -35,10 +35,10 @@ def returns_against_history(
     single laser is not one task: each row joins the block of its own and, for the first rows of a block, the tail of
     the block before it.
     """
-    if not 0 < history <= ROWS_PER_BLOCK:
-        raise ValueError(f"history must be between 1 and {ROWS_PER_BLOCK} sweeps")
+    if history < 1:
+        raise ValueError("history must be at least one sweep")
     numbered = with_position(returns, keys, sweep, name="_rn")
-    block = ROWS_PER_BLOCK
+    block = max(ROWS_PER_BLOCK, history)
     home = F.floor(F.col("_rn") / block)
     # A row also serves as history for the next block if it is among the last `history` rows before it.
     spread = numbered.withColumn(

@@ -105,18 +105,36 @@ def test_skew_distribution_keeps_empty_cameras(spark):
     assert (rows["y"].n_sweeps, rows["y"].n_without_frame, rows["y"].p50) == (1, 1, None)
 
 
-def test_width_follows_the_size_and_the_range(spark):
-    df = spark.range(1000).select((F.col("id") * 10).alias("t"), F.lit(None).cast("bigint").alias("none"))
-    assert ordered.bin_width(df, "t") is None
-    assert ordered.bin_width(df, "t", rows_per_bin=100) == pytest.approx(999.0)
-    assert ordered.bin_width(df, "none", rows_per_bin=100) == 1.0
-
-
-def test_large_tables_are_cut_and_small_ones_are_not(spark, monkeypatch):
-    df = spark.range(500).select((F.col("id") % 2).alias("k"), (F.col("id") * 3).alias("t"))
-    plain = ordered.with_previous(df, ["k"], "t")
-    assert "_bin" not in plain._jdf.queryExecution().toString()
-    monkeypatch.setattr(ordered.bin_width, "__defaults__", (20,))
-    cut = ordered.with_previous(df, ["k"], "t")
-    assert "_bin" in cut._jdf.queryExecution().toString()
-    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+EXTREMES = (-math.inf, -1e300, -1.0, 0.0, 0.0, 2.0, 1e15, math.inf, math.nan)
+
+
+@pytest.mark.parametrize("width", [None, 1.0])
+def test_outliers_infinities_and_nan(spark, width):
+    rows = [(k, v) for k in ("a", None) for v in EXTREMES] + [("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for row in ordered.distribution(df, ["k"], "v", (1, 50, 88), width).collect():
+        assert (row.n, row.p1, row.p50, row.p88) == (9, -math.inf, 0.0, math.inf) and math.isnan(row.max)
+    stamps = [-(1 << 63), -(1 << 62), 0, 1, (1 << 62) + 5, (1 << 63) - 1]
+    times = spark.createDataFrame([("x", t) for t in stamps], "k string, t bigint")
+    got = {r.t: r.previous for r in ordered.with_previous(times, ["k"], "t", width).collect()}
+    assert [got[t] and got[t].t for t in stamps] == [None, *stamps[:-1]]
+
+
+def test_nearest_over_the_whole_range_of_stamps(spark):
+    low, high = -(1 << 63), (1 << 63) - 1
+    frames = spark.createDataFrame([("A", "x", low), ("A", "x", high)], "log_id string, sensor string, timestamp_ns bigint")
+    sweeps = spark.createDataFrame([("A", low), ("A", -5), ("A", 5), ("A", high)], "log_id string, timestamp_ns bigint")
+    found = {r.sweep_ns: r.frame_ns for r in nearest_frames(sweeps, frames, ["x"]).collect()}
+    assert found == {low: low, -5: low, 5: high, high: high}
+
+
+def test_bins_of_a_crowded_group_hold_like_numbers_of_rows(spark):
+    crowd = spark.range(20_000).select(F.lit("a").alias("k"), (F.col("id") % 50).alias("t"), "id")
+    outlier = spark.createDataFrame([("a", 10**15, -1)], "k string, t bigint, id bigint")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = ordered.binned(crowd.unionByName(outlier), ["k"], ["t", "id"])
+        sizes = [r["count"] for r in cut.groupBy(ordered.BIN).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_001 / 8
