@@ -13,14 +13,13 @@ from sensormill.operators.normalise import frames
 from sensormill.queries.registry import query, table
 from sensormill.sources.files import digest_items, hash_files, list_files, log_folders, payload_listing
 from sensormill.sources.keys import source_keys
+from sensormill.sources.paths import locate
 from sensormill.workspace import fresh_path
 
 
 def _write_files(rows: Iterable[Row]) -> None:
-    from pyarrow import fs
-
     for row in rows:
-        system, path = fs.FileSystem.from_uri(row.path)
+        system, path, _ = locate(row.path)
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
         with system.open_output_stream(path) as stream:
             stream.write(row.text.encode())

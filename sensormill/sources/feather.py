@@ -9,13 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from sensormill.sources.paths import locate
 from sensormill.workspace import spread
 
 
 def _open(path: str):
-    from pyarrow import fs
-
-    system, name = fs.FileSystem.from_uri(path)
+    system, name, _ = locate(path)
     return pa.ipc.open_file(system.open_input_file(name))
 
 
@@ -84,11 +83,10 @@ class _FeatherReader(DataSourceReader):
         """Files in path order, packed up to the target size per task."""
         from pyarrow import fs
 
-        system, base = fs.FileSystem.from_uri(self.path)
+        system, base, named = locate(self.path)
         info = system.get_file_info(base)
         if info.type == fs.FileType.File:
             return [_Files([self.path])]
-        scheme = self.path[: len(self.path) - len(base)] if self.path.endswith(base) else ""
         found = system.get_file_info(fs.FileSelector(base, recursive=True))
         files = sorted((i.path, i.size) for i in found if i.type == fs.FileType.File and i.path.endswith(".feather"))
         packed: list[InputPartition] = []
@@ -98,7 +96,7 @@ class _FeatherReader(DataSourceReader):
             if pending and size + length > self.target:
                 packed.append(_Files(pending))
                 pending, size = [], 0
-            pending.append(scheme + name)
+            pending.append(named(name))
             size += length
         if pending:
             packed.append(_Files(pending))

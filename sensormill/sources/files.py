@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormill.functions.paths import relative_to, strip_scheme
+from sensormill.sources.paths import locate
 from sensormill.workspace import spread
 
 CHUNK = 1 << 20
@@ -27,12 +28,6 @@ def log_folders(log_ids: DataFrame, data_root: str) -> DataFrame:
     return log_ids.select("log_id", F.concat(F.lit(data_root.rstrip("/") + "/"), F.col("log_id")).alias("root"))
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def _expand(recursive: bool):
     """Replace folder rows by what they hold; file rows pass through."""
 
@@ -44,16 +39,15 @@ def _expand(recursive: bool):
             if not files.empty:
                 yield files
             for row in batch[batch["is_folder"]].itertuples(index=False):
-                system, base = _filesystem(row.path)
+                system, base, named = locate(row.path)
                 found = system.get_file_info(fs.FileSelector(base, recursive=recursive, allow_not_found=True))
                 listed = [i for i in found if i.type == fs.FileType.File or not recursive]
-                scheme = row.path[: len(row.path) - len(base)] if row.path.endswith(base) else ""
                 if listed:
                     yield pd.DataFrame(
                         {
                             "log_id": row.log_id,
                             "root": row.root,
-                            "path": [scheme + i.path for i in listed],
+                            "path": [named(i.path) for i in listed],
                             "byte_size": [i.size if i.type == fs.FileType.File else None for i in listed],
                             "is_folder": [i.type == fs.FileType.Directory for i in listed],
                         }
@@ -85,7 +79,7 @@ def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = []
         for path in batch["path"]:
             running = hashlib.sha256()
-            system, name = _filesystem(path)
+            system, name, _ = locate(path)
             with system.open_input_stream(name) as stream:
                 while chunk := stream.read(CHUNK):
                     running.update(chunk)
@@ -113,7 +107,7 @@ def _probe_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sizes, sums = [], []
         for path in batch["source_path"]:
-            system, name = _filesystem(path)
+            system, name, _ = locate(path)
             info = system.get_file_info(name)
             if info.type != fs.FileType.File:
                 sizes.append(None)

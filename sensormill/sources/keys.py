@@ -1,7 +1,7 @@
 """Source-side keys, taken from file names alone.
 
-This is the independent side of reconciliation. The module shares no code with the transform: if it did, one mistake
-could make both sides agree on a wrong answer.
+Reconciliation needs a second opinion, so nothing here but the opening of file systems is also used by the transform:
+a mistake in shared rules would go unseen on both sides.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensormill.sources.paths import locate
+
 # Where sensors lie inside a log folder, and which file names carry a stamp (digits, any one suffix).
 STAMPED_FILE = r"/([^/]+)/sensors/(?:(lidar)|cameras/([^/]+))/([0-9]+)(?:\.[^./]+)?\z"
 # End of fixed values.
@@ -37,12 +39,11 @@ def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for row in batch.itertuples(index=False):
-            system, base = fs.FileSystem.from_uri(row.path)
-            scheme = row.path.removesuffix(base)
+            system, base, named = locate(row.path)
             found = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
             if found:
                 yield pd.DataFrame(
-                    {"path": [scheme + i.path for i in found], "is_file": [i.type == fs.FileType.File for i in found]}
+                    {"path": [named(i.path) for i in found], "is_file": [i.type == fs.FileType.File for i in found]}
                 )
 
 
