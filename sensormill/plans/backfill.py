@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensormill.operators.releases import backfill_work
-from sensormill.workspace import materialise
+from sensormill.workspace import materialise, read_if_there
 
 
 def overwrite_partitions(rows: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -38,9 +37,8 @@ def backfill(
     """
     spark = units.sparkSession
     schema = units.select(*ids).schema
-    try:
-        done = spark.read.schema(schema).parquet(done_path)
-    except AnalysisException:
+    done = read_if_there(spark, schema, done_path)
+    if done is None:
         done = spark.createDataFrame([], schema)
     work = materialise(backfill_work(units, slice_, done, ids), "backfill")
     overwrite_partitions(compute(work), out, partitions or ids)

@@ -13,10 +13,17 @@ from sensormill.sources.keys import source_keys
 
 def active_rows(store, table: str, log_ids: DataFrame | None = None) -> DataFrame:
     """Rows of ``table`` a reader may see: those of each log's active commit."""
-    rows = store.read(table)
+    active = ledgers.latest(ledgers.activations(store.ledger()))
     if log_ids is not None:
-        rows = rows.join(log_ids.select("log_id"), "log_id", "left_semi")
-    return ledgers.visible(rows, ledgers.latest(ledgers.activations(store.ledger())))
+        active = active.join(log_ids.select("log_id").distinct(), "log_id", "left_semi")
+    if not hasattr(store, "read_appends"):
+        return ledgers.visible(store.read(table), active)
+    # The ledger knows which append brought a commit's rows: only those folders are opened.
+    brought = ledgers.commits(store.ledger()).select("log_id", "commit_id", F.col("committed_seq").alias("append_id"))
+    keep = active.join(brought, ["log_id", "commit_id"]).withColumnRenamed("commit_id", "ingest_commit_id")
+    appends = [r[0] for r in keep.select("append_id").distinct().collect()]  # at most one per batch of ingest
+    rows = store.read_appends(table).where(F.col("append_id").isin(appends))
+    return rows.join(keep, ["append_id", "log_id", "ingest_commit_id"], "left_semi").select(*store.schemas[table].fieldNames())
 
 
 def reconcile_keys(store, folders: DataFrame) -> DataFrame:

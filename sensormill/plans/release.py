@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,13 +12,15 @@ from pyspark.sql import types as T
 from sensormill.operators import ledger as ledgers
 from sensormill.operators.releases import changed_blobs, changed_tables, pin_blobs, pin_tables
 from sensormill.sources.files import probe_files
+from sensormill.workspace import read_if_there
 
-HEADER = "policy_version STRING, transform_version STRING, created_at TIMESTAMP"
+HEADER = "attempt_id STRING, policy_version STRING, transform_version STRING, created_at TIMESTAMP"
 PARTS = {
     "commits": "log_id STRING, commit_id STRING",
     "tables": "table_name STRING, snapshot_id BIGINT, n_rows BIGINT, fingerprint STRING",
     "blobs": "source_path STRING, byte_size BIGINT, checksum STRING",
 }
+#: Objects in the message of a refusal; the stored table has all of them.
 NAMED = 20
 
 
@@ -26,32 +29,43 @@ class ReleaseRefused(RuntimeError):
 
 
 class Releases:
-    """Release pins next to the tables of a store. The header is written last: without it there is no release."""
+    """Release pins next to the tables of a store.
+
+    Parts are written under the id of the attempt, and the header, written last, says which attempt is the release. An
+    attempt that dies leaves parts that nobody reads, and the next one starts anew. Of two attempts that both end, the
+    earlier header counts.
+    """
 
     def __init__(self, store, root: str):
         self.store = store
         self.spark = store.spark
         self.root = root.rstrip("/")
 
-    def _write(self, part: str, rows: DataFrame, release_id: str) -> None:
-        tagged = rows.withColumn("release_id", F.lit(release_id))
-        tagged.write.mode("append").partitionBy("release_id").parquet(f"{self.root}/{part}")
-
-    def _read(self, part: str, ddl: str, release_id: str) -> DataFrame:
-        schema = T.StructType.fromDDL(ddl + ", release_id STRING")
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{part}")
-        return rows.where(F.col("release_id") == release_id).drop("release_id")
+    def _write(self, part: str, rows: DataFrame, key: str, value: str) -> None:
+        tagged = rows.withColumn(key, F.lit(value))
+        tagged.write.mode("append").partitionBy(key).parquet(f"{self.root}/{part}")
+
+    def _attempt(self, release_id: str) -> str | None:
+        """The attempt that became the release."""
+        schema = T.StructType.fromDDL(HEADER + ", release_id STRING")
+        headers = read_if_there(self.spark, schema, f"{self.root}/headers")
+        if headers is None:
+            return None
+        mine = headers.where(F.col("release_id") == release_id)
+        return mine.agg(F.min_by("attempt_id", F.struct("created_at", "attempt_id"))).first()[0]
+
+    def _attempt_part(self, part: str, attempt: str | None) -> DataFrame:
+        schema = T.StructType.fromDDL(PARTS[part] + ", attempt_id STRING")
+        rows = read_if_there(self.spark, schema, f"{self.root}/{part}")
+        if rows is None:
+            rows = self.spark.createDataFrame([], schema)
+        return rows.where(F.col("attempt_id") == F.lit(attempt)).drop("attempt_id")
 
     def part(self, part: str, release_id: str) -> DataFrame:
-        return self._read(part, PARTS[part], release_id)
+        return self._attempt_part(part, self._attempt(release_id))
 
     def exists(self, release_id: str) -> bool:
-        from pyspark.errors import AnalysisException
-
-        try:
-            return not self._read("headers", HEADER, release_id).isEmpty()
-        except AnalysisException:
-            return False
+        return self._attempt(release_id) is not None
 
     def _tables(self, commits: DataFrame) -> dict[str, DataFrame]:
         return {t: ledgers.visible(self.store.read(t), commits) for t in self.store.schemas}
@@ -60,20 +74,22 @@ class Releases:
         """Pin the active commits of ``logs``: row contents of every table, hash of every blob, both versions."""
         if self.exists(release_id):
             raise ValueError(f"release {release_id} exists; releases never change")
+        attempt = uuid.uuid4().hex
         active = ledgers.latest(ledgers.activations(self.store.ledger()))
-        self._write("commits", active.join(logs.select("log_id"), "log_id", "left_semi"), release_id)
-        commits = self.part("commits", release_id)
+        self._write("commits", active.join(logs.select("log_id"), "log_id", "left_semi"), "attempt_id", attempt)
+        commits = self._attempt_part("commits", attempt)
         tables = self._tables(commits)
         snapshots = ledgers.recorded_snapshots(self.store.ledger())
         pins = pin_tables(tables).join(snapshots, "table_name", "left")
-        self._write("tables", pins.select("table_name", "snapshot_id", "n_rows", "fingerprint"), release_id)
-        self._write("blobs", pin_blobs(tables["sensor_data"]), release_id)
+        self._write("tables", pins.select("table_name", "snapshot_id", "n_rows", "fingerprint"), "attempt_id", attempt)
+        self._write("blobs", pin_blobs(tables["sensor_data"]), "attempt_id", attempt)
         header = self.spark.range(1).select(
+            F.lit(attempt).alias("attempt_id"),
             F.lit(policy_version).alias("policy_version"),
             F.lit(transform_version).alias("transform_version"),
             F.current_timestamp().alias("created_at"),
         )
-        self._write("headers", header, release_id)
+        self._write("headers", header, "release_id", release_id)
 
     def problems(self, release_id: str, check_blobs: bool = True) -> DataFrame:
         """(object, problem) for everything that differs from the pin."""
@@ -87,12 +103,16 @@ class Releases:
         return reduce(DataFrame.unionByName, found)
 
     def load(self, release_id: str, check_blobs: bool = True) -> dict[str, DataFrame]:
-        """The pinned rows of every table, or ``ReleaseRefused`` naming what changed."""
+        """The pinned rows of every table, or ``ReleaseRefused`` with the path of the table of all that changed."""
         if not self.exists(release_id):
             raise ReleaseRefused(f"release {release_id} was never published")
-        bad = self.problems(release_id, check_blobs).orderBy("object").take(NAMED)
-        if bad:
-            raise ReleaseRefused("; ".join(f"{r.object}: {r.problem}" for r in bad))
+        path = f"{self.root}/refusals/{uuid.uuid4().hex}"
+        self.problems(release_id, check_blobs).write.parquet(path)
+        found = self.spark.read.schema("object STRING, problem STRING").parquet(path)
+        count = found.count()
+        if count:
+            some = found.orderBy("object").take(NAMED)
+            raise ReleaseRefused(f"{count} objects differ, see {path}: " + "; ".join(f"{r.object}: {r.problem}" for r in some))
         return self._tables(self.part("commits", release_id))
 
     def compare(self, one: str, other: str) -> DataFrame:

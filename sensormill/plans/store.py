@@ -5,13 +5,15 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensormill.schemas import LEDGER_DDL, PARTITION_COLUMNS, TABLE_DDL, conform, table_schema
+from sensormill.workspace import read_if_there
 
+#: What could not be taken in, and why: a file, a log or a message.
+QUARANTINE_DDL = "log_id STRING, object STRING, reason STRING, detail STRING, commit_id STRING"
 TAG_DDL = "tag STRING, table_name STRING, snapshot_id BIGINT, tagged_at TIMESTAMP"
 
 
@@ -36,12 +38,10 @@ class ParquetStore:
 
     def ensure_tables(self) -> None:
         """Create what does not exist; safe to repeat."""
-        for name, schema in {**self.schemas, "ledger": _ddl(LEDGER_DDL), "tags": _ddl(TAG_DDL)}.items():
-            try:
-                self._read(name, schema)
+        for name, schema in {**self.schemas, "ledger": _ddl(LEDGER_DDL), "tags": _ddl(TAG_DDL), "quarantine": _ddl(QUARANTINE_DDL)}.items():
+            if read_if_there(self.spark, _with_append_id(schema), self._path(name)) is not None:
                 continue
-            except AnalysisException:
-                empty = self.spark.createDataFrame([], _with_append_id(schema))
+            empty = self.spark.createDataFrame([], _with_append_id(schema))
             empty.write.mode("append").partitionBy("append_id").parquet(self._path(name))
 
     def append(self, table: str, df: DataFrame, append_id: int) -> int:
@@ -70,6 +70,20 @@ class ParquetStore:
             *self.schemas[table].fieldNames()
         )
 
+    def read_appends(self, table: str) -> DataFrame:
+        """All rows with the ``append_id`` they came with, by which the folders are cut."""
+        return self._read(table, self.schemas[table])
+
+    def snapshot_of(self, table: str, append_id: int) -> int:
+        """The snapshot that the append ``append_id`` made."""
+        return append_id
+
+    def quarantine(self) -> DataFrame:
+        return self._read("quarantine", _ddl(QUARANTINE_DDL)).drop("append_id")
+
+    def append_quarantine(self, rows: DataFrame, append_id: int) -> int:
+        return self._write("quarantine", conform(rows, _ddl(QUARANTINE_DDL)), append_id)
+
     def snapshot_ids(self, tables: Iterable[str] | None = None) -> dict[str, int | None]:
         """Latest append per table, None where nothing has been appended. Reads partition values and file footers."""
         return {
@@ -104,10 +118,11 @@ class CatalogStore:
         self.spark = spark
         self.namespace = namespace
         self.provider = provider
+        self.schemas = {t: table_schema(t) for t in TABLE_DDL}
 
     def ensure_tables(self) -> None:
         self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.namespace}")
-        for table, ddl in {**TABLE_DDL, "ledger": LEDGER_DDL}.items():
+        for table, ddl in {**TABLE_DDL, "ledger": LEDGER_DDL, "quarantine": QUARANTINE_DDL}.items():
             parts = PARTITION_COLUMNS.get(table)
             clause = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.namespace}.{table} ({ddl}) USING {self.provider}{clause}")
@@ -138,6 +153,16 @@ class CatalogStore:
             for t in (tables or TABLE_DDL)
         }
 
+    def snapshot_of(self, table: str, append_id: int) -> int | None:
+        """The snapshot that the latest append made; NULL where the provider keeps none."""
+        return self.snapshot_ids([table])[table]
+
+    def quarantine(self) -> DataFrame:
+        return self.spark.table(f"{self.namespace}.quarantine")
+
+    def append_quarantine(self, rows: DataFrame, append_id: int = 0) -> int:
+        return self._insert("quarantine", conform(rows, _ddl(QUARANTINE_DDL)))
+
     def ledger(self) -> DataFrame:
         return self.spark.table(f"{self.namespace}.ledger")
 

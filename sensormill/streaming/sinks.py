@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensormill.operators.joins import join_null_safe
 from sensormill.operators.releases import newest_states, stale_events
+from sensormill.workspace import read_if_there
 
 BATCH = "stream_batch_id"
 Sink = Callable[[DataFrame, int], None]
@@ -29,9 +29,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """Rows written so far, with their batch id; none if nothing has been written. ``before`` excludes later batches."""
     full = T.StructType([*(f for f in schema.fields if f.name != BATCH), T.StructField(BATCH, T.LongType())])
-    try:
-        rows = spark.read.schema(full).parquet(path)
-    except AnalysisException:
+    rows = read_if_there(spark, full, path)
+    if rows is None:
         return spark.createDataFrame([], full)
     return rows if before is None else rows.where(F.col(BATCH) < before)
 

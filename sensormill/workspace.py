@@ -2,24 +2,46 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def workspace(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Only a local session may fall back to a folder of this machine."""
+    """The session's checkpoint folder. Only a local session without one gets a folder of this machine instead."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    """A folder for this process, gone when it ends."""
     folder = tempfile.mkdtemp(prefix="sensormill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
+def read_if_there(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame | None:
+    """The Parquet rows at ``path``, None if there is no such path. Any other trouble is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -1,3 +1,4 @@
+import re
 import uuid
 
 import pytest
@@ -183,6 +184,41 @@ def test_overlong_stamps_go_to_quarantine(spark, tmp_path):
     (folder / "sensors/lidar/99999999999999999999.feather").write_text("x")
     hashed = hash_files(list_files(folders_of(spark, tmp_path, "L1")))
     assert [r.stamp for r in unreadable_stamps(hashed).collect()] == ["99999999999999999999"]
+    store = ParquetStore(spark, str(tmp_path / "store"))
+    done = ingest(store, folders_of(spark, tmp_path, "L1"), "v1")
+    row = store.quarantine().first()
+    assert done.quarantined == 1 and (row.log_id, row.reason, row.detail) == ("L1", "stamp_too_long", "99999999999999999999")
+    assert row.commit_id == done.logs.first().commit_id
+    assert ingest(store, folders_of(spark, tmp_path, "L1"), "v1").quarantined == 0  # nothing new was taken in
+
+
+def test_odd_names_and_roots(spark, tmp_path, store):
+    folder = make_log(tmp_path, "L1")
+    for name, text in (("notes %41 #1.txt", "a"), ("%41.txt", "b"), ("A.txt", "c"), (".hidden é ?", "d")):
+        (folder / name).write_text(text)
+    import hashlib
+
+    for root in (f"{tmp_path}/L1", f"file://{tmp_path}/L1"):
+        hashed = hash_files(list_files(spark.createDataFrame([("L1", root)], "log_id string, root string"))).collect()
+        sums = {r.path.rsplit("/", 1)[1]: r.checksum for r in hashed}
+        for name, text in (("notes %41 #1.txt", "a"), ("%41.txt", "b"), ("A.txt", "c"), (".hidden é ?", "d")):
+            assert sums[name] == hashlib.sha256(text.encode()).hexdigest(), (root, name)
+    make_log(tmp_path / "other", "L2")
+    make_log(tmp_path, "L2")
+    rows = [("L1", f"{tmp_path}/L1/"), ("L1", f"{tmp_path}/L1"), ("L2", f"{tmp_path}/L2"), ("L2", f"{tmp_path}/other/L2")]
+    done = ingest(store, spark.createDataFrame(rows, "log_id string, root string"), "v1")
+    assert actions(done) == {"L1": "committed", "L2": "refused"} and done.logs.count() == 2
+    assert [(r.log_id, r.reason) for r in store.quarantine().collect()] == [("L2", "several_roots")]
+
+
+def test_reading_one_log_opens_only_its_append(spark, tmp_path, store):
+    for i in ("L1", "L2"):
+        make_log(tmp_path, i)
+        ingest(store, folders_of(spark, tmp_path, i), "v1")
+    rows = active_rows(store, "sensor_data", folders_of(spark, tmp_path, "L2"))
+    assert {r.log_id for r in rows.select("log_id").distinct().collect()} == {"L2"} and rows.count() == 9
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*append_id#\d+L? (=|IN) ", plan), plan
 
 
 def test_racing_writers_of_one_identity_keep_the_earlier_commit(spark):

@@ -58,10 +58,27 @@ def test_a_release_without_its_header_does_not_exist(spark, tmp_path):
     store = ParquetStore(spark, str(tmp_path / "store"))
     ingest(store, folders_of(spark, tmp_path, "L1"), "v1")
     pins = Releases(store, str(tmp_path / "releases"))
-    pins._write("commits", spark.createDataFrame([("L1", "c")], "log_id string, commit_id string"), "half")
-    assert not pins.exists("half")
-    with pytest.raises(ReleaseRefused):
-        pins.load("half")
+    whole = Releases._write
+    for dies_after in ("commits", "tables", "blobs"):
+
+        def dies(self, part, rows, key, value, last=dies_after):
+            whole(self, part, rows, key, value)
+            if part == last:
+                raise RuntimeError("the job dies here")
+
+        pins._write = dies.__get__(pins)
+        with pytest.raises(RuntimeError):
+            pins.create("half", folders_of(spark, tmp_path, "L1"), "strict-1", "v1")
+        assert not pins.exists("half")
+        with pytest.raises(ReleaseRefused):
+            pins.load("half")
+    # The state goes on, and the release is made at last: nothing of the dead attempts is in it.
+    (tmp_path / "L1/sensors/lidar/900.feather").write_bytes(b"new sweep")
+    ingest(store, folders_of(spark, tmp_path, "L1"), "v1")
+    pins._write = whole.__get__(pins)
+    pins.create("half", folders_of(spark, tmp_path, "L1"), "strict-1", "v1")
+    assert pins.part("commits", "half").count() == 1 and pins.part("tables", "half").count() == 5
+    assert pins.load("half")["sensor_data"].where("timestamp_ns = 900").count() == 1
 
 
 def test_states_order_by_version_not_by_arrival(spark):
