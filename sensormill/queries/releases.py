@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormill.operators import blobs, releases
-from sensormill.queries.encodings import _LANES, _int, _row, _text
+from sensormill.queries.encodings import _LANES, _float, _int, _row, _text
 from sensormill.queries.registry import EVENT_FRAMES_SQL, event_frames, query, table
 from sensormill.queries.timelines import DAY_NS
 
@@ -97,14 +97,15 @@ def table_file_health(spark: SparkSession, folder: str) -> DataFrame:
 PINNED = {
     "nation": ("n_nationkey", "n_name", "n_regionkey"),
     "region": ("r_regionkey", "r_name"),
-    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size"),
-    "customer": ("c_custkey", "c_name", "c_mktsegment"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
 }
 _TEXTS = {"n_name", "r_name", "p_name", "p_brand", "p_type", "c_name", "c_mktsegment"}
+_DOUBLES = {"p_retailprice", "c_acctbal"}
 
 
 def _pin_sql(name: str, rows: str | None = None) -> str:
-    encoded = _row(**{c: (_text(c) if c in _TEXTS else _int(c)) for c in PINNED[name]})
+    encoded = _row(**{c: (_text(c) if c in _TEXTS else _float(c) if c in _DOUBLES else _int(c)) for c in PINNED[name]})
     return f"""SELECT '{name}' AS table_name, n_rows,
   sha256(concat_ws('|', CAST(n_rows AS VARCHAR), l0, l1, l2, l3)) AS fingerprint
 FROM (SELECT count(*) AS n_rows, {_LANES} FROM (SELECT sha256({encoded}) AS h FROM {rows or name}))"""
