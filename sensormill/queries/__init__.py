@@ -1,6 +1,6 @@
 """Every operator as a named query over the given tables, with equivalent SQL where SQL can express it."""
 
-from sensormill.queries import checks, encodings, ledgers, multisets, payloads, releases, retrieval, streams, timelines
+from sensormill.queries import checks, encodings, ingested, ledgers, multisets, payloads, releases, retrieval, streams, timelines
 from sensormill.queries.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "QUERIES",
     "checks",
     "encodings",
+    "ingested",
     "ledgers",
     "multisets",
     "payloads",

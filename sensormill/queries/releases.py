@@ -9,6 +9,7 @@ from sensormill.operators import blobs, releases
 from sensormill.queries.encodings import _LANES, _float, _int, _row, _text
 from sensormill.queries.registry import EVENT_FRAMES_SQL, event_frames, query, table
 from sensormill.queries.timelines import DAY_NS
+from sensormill.workspace import fresh_path
 
 
 def _references(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,9 +90,15 @@ def byte_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return blobs.byte_accounts(rows, "byte_size", classes, ["source"])
 
 
-@query()
+@query(
+    """SELECT CAST(count(DISTINCT (l_returnflag, l_linestatus)) AS BIGINT) AS n_files, count(*) AS n_rows FROM lineitem"""
+)
 def table_file_health(spark: SparkSession, folder: str) -> DataFrame:
-    return blobs.file_health(table(spark, folder, "lineitem"))
+    """Files and rows of a table laid out with one file per flag and status."""
+    path, parts = fresh_path(spark, "laid-out"), ["l_returnflag", "l_linestatus"]
+    rows = table(spark, folder, "lineitem")
+    rows.repartition(*parts).write.partitionBy(*parts).parquet(path)
+    return blobs.file_health(spark.read.parquet(path)).select("n_files", "n_rows")
 
 
 PINNED = {

@@ -40,7 +40,11 @@ def append_batches(path: str) -> Sink:
 
 
 def append_new(path: str, keys: Sequence[str]) -> Sink:
-    """Append rows whose key no earlier batch has, once each: arrivals to process, slices to promote."""
+    """Append rows whose key no earlier batch has, once each.
+
+    It reads the keys of all earlier batches, so a stream that lives long should drop duplicates by key first, with the
+    keys in Spark's state store, and use ``append_batches``.
+    """
 
     def sink(rows: DataFrame, batch_id: int) -> None:
         known = read_batches(rows.sparkSession, path, rows.schema, before=batch_id).select(*keys)
