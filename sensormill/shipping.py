@@ -9,10 +9,17 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SENT = "_sensormill_sent"
+#: Rows that travel to a Python worker at once, in place of Spark's default: texts are long, and workers must stay small.
+BATCH_SETTING, DEFAULT_BATCH, BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package's sources to the running application, once. The driver serves the archive to every executor."""
+    """Add the package's sources to the running application, once. The driver serves the archive to every executor.
+
+    Also lowers the session's Arrow batch size if it is the default.
+    """
+    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_SETTING, BATCH)
     context = spark.sparkContext
     if getattr(context, _SENT, False):
         return

@@ -1,7 +1,7 @@
 """Source-side keys, taken from file names alone.
 
-Reconciliation needs a second opinion, so nothing here but the opening of file systems is also used by the transform:
-a mistake in shared rules would go unseen on both sides.
+Reconciliation needs a second opinion, so this module uses nothing of the package: a mistake in shared rules would go
+unseen on both sides.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensormill.sources.paths import locate
-
 # Where sensors lie inside a log folder, and which file names carry a stamp (digits, any one suffix).
 STAMPED_FILE = r"/([^/]+)/sensors/(?:(lidar)|cameras/([^/]+))/([0-9]+)(?:\.[^./]+)?\z"
 # End of fixed values.
@@ -33,17 +31,32 @@ def keys_of_paths(paths: DataFrame, column: str = "path") -> DataFrame:
     )
 
 
+def _folder(path: str):
+    """(file system, plain folder, what goes before plain paths). Names are never parsed as URIs."""
+    from pyarrow import fs
+
+    scheme, found, rest = path.partition("://")
+    if not found:
+        return fs.LocalFileSystem(), path.removeprefix("file:"), "file:" if path.startswith("file:") else ""
+    authority, _, inside = rest.partition("/")
+    if scheme == "file":
+        return fs.LocalFileSystem(), f"/{inside}", f"file://{authority}"
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    base = base.rstrip("/")
+    return system, f"{base}/{inside}", f"{scheme}://{authority}".removesuffix(base)
+
+
 def _children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Files and folders directly below each path; a folder that does not exist holds nothing."""
     from pyarrow import fs
 
     for batch in batches:
         for row in batch.itertuples(index=False):
-            system, base, named = locate(row.path)
+            system, base, before = _folder(row.path)
             found = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
             if found:
                 yield pd.DataFrame(
-                    {"path": [named(i.path) for i in found], "is_file": [i.type == fs.FileType.File for i in found]}
+                    {"path": [before + i.path for i in found], "is_file": [i.type == fs.FileType.File for i in found]}
                 )
 
 

@@ -70,8 +70,11 @@ def test_a_laser_that_collapses_is_seen_against_its_own_history(spark, monkeypat
     for r in found:
         past = [n for _, la, s, n in counts if la == r.laser_number and r.sweep_ns - 5 <= s < r.sweep_ns]
         assert (r.history_n, r.history_sum) == (len(past), sum(past) if past else None)
+    for r in sweeps.returns_against_history(df, history=20).collect():  # more sweeps than a block holds
+        past = [n for _, la, s, n in counts if la == r.laser_number and r.sweep_ns - 20 <= s < r.sweep_ns]
+        assert (r.history_n, r.history_sum) == (len(past), sum(past) if past else None)
     with pytest.raises(ValueError):
-        sweeps.returns_against_history(df, history=9)
+        sweeps.returns_against_history(df, history=0)
 
 
 def test_sweep_timing_sees_steps_back_in_recorded_order(spark):
