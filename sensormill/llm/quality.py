@@ -39,7 +39,7 @@ SEEN = 4
 SURE = 4.0
 RIDGE = 0.00003
 ROUNDS = 80
-CACHE = 200_000
+CACHE = 50_000
 #: Chance of the top grade from which a document is selected.
 LEAST = 0.6
 
@@ -106,23 +106,35 @@ class Model:
         return first, second
 
 
-def fit_rows(rows: np.ndarray, place: np.ndarray, hashes: np.ndarray, grades: np.ndarray) -> Model:
-    """Penalised maximum likelihood, grades weighing alike; row ``rows[i]`` has the feature ``hashes[place[i]]``."""
+def fit_rows(places: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, grades: np.ndarray) -> Model:
+    """Penalised maximum likelihood, grades weighing alike; ``places`` are the features of all rows, one after another."""
     present, n, width = np.unique(grades), len(grades), len(hashes)
     if len(present) < 2:
         return Model({}, (-1.0, -1.0))
     share = 1 / (len(present) * np.bincount(grades, minlength=3)[grades])
+    ends = np.cumsum(sizes)
+    chunks = [(i, min(i + 1024, n)) for i in range(0, n, 1024)]  # rows at a time, so that temporaries stay small
+
+    def part(begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        own = np.repeat(np.arange(end - begin), sizes[begin:end])
+        return own, places[ends[begin] - sizes[begin] : ends[end - 1]]
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         """Value and gradient; the last two are the first cut and the logarithm of its distance to the second."""
-        score = np.bincount(rows, weights=w[place], minlength=n)
+        score = np.empty(n)
+        for begin, end in chunks:
+            own, at = part(begin, end)
+            score[begin:end] = np.bincount(own, weights=w[at], minlength=end - begin)
         gap = np.exp(np.clip(w[-1], -20, 20))
         first, second = (1 / (1 + np.exp(np.clip(c - score, -500, 500))) for c in (w[-2], w[-2] + gap))
         upper, lower = np.choose(grades, [1.0, first, second]), np.choose(grades, [first, second, 0.0])
         chance = np.maximum(upper - lower, 1e-12)
         up, down = share * upper * (1 - upper) / chance, share * lower * (1 - lower) / chance
         out = np.empty_like(w)
-        out[:-2] = RIDGE * w[:-2] - np.bincount(place, weights=(up - down)[rows], minlength=width)
+        out[:-2] = RIDGE * w[:-2]
+        for begin, end in chunks:
+            own, at = part(begin, end)
+            out[:-2] -= np.bincount(at, weights=(up - down)[begin:end][own], minlength=width)
         second_cut = up[grades == 2].sum() - down[grades == 1].sum()
         out[-2] = up[grades == 1].sum() - down[grades == 0].sum() + second_cut
         out[-1] = second_cut * gap
@@ -204,9 +216,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     parts = labels.select("doc_id", "quality", "toxic").dropna()
     chosen = parts.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(sample)
-    grades = F.when(F.col("quality") == 0, 0).when(F.col("toxic") != 0, 1).otherwise(2)
+    rating = F.when(F.col("quality") == 0, 0).when(F.col("toxic") != 0, 1).otherwise(2)
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("body")).filter("body IS NOT NULL")
-    picked = rows.join(chosen, "doc_id").select(grades.alias("grade"), "body")
+    picked = rows.join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows of four numbers
+    picked = picked.select(rating.alias("grade"), "body")
     rated = materialise(picked.mapInArrow(featurise, "grade int, features array<long>"), "rated")
     hashes = np.array(sorted(r.feature for r in telling(rated).collect()), dtype=np.int64)  # bounded by the sample
 
@@ -221,10 +234,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([batch["grade"], pa.array(kept, pa.binary())], ["grade", "places"])
 
     found = sorted((r.grade, bytes(r.places)) for r in rated.mapInArrow(narrow, "grade int, places binary").collect())
-    places = [np.frombuffer(p, dtype=np.int32) for _, p in found]
-    owners = np.repeat(np.arange(len(places)), [len(p) for p in places])
-    joined = np.concatenate(places) if places else np.zeros(0, dtype=np.int32)
-    return fit_rows(owners, joined, hashes, np.array([g for g, _ in found], dtype=np.int64))
+    grades = np.array([g for g, _ in found], dtype=np.int64)
+    sizes = np.array([len(p) // 4 for _, p in found], dtype=np.int64)
+    return fit_rows(np.frombuffer(b"".join(p for _, p in found), dtype=np.int32), sizes, hashes, grades)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
