@@ -40,7 +40,7 @@ from sensormill.workspace import materialise
 WIDTH, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 BANDS, BAND = 30, 5
 STEP = 16
-CELL = 1_000_000
+CELL = 500_000
 #: What a document counts for at least, so that a cell of short texts stays small in number.
 LEAST_LOAD = 400
 
@@ -139,7 +139,7 @@ def _products(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarra
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     total = np.zeros((len(rows), len(rows)), dtype=np.float32)
-    width = max(64, 16_000_000 // max(len(rows), 1))
+    width = max(64, 4_000_000 // max(len(rows), 1))
     for begin in range(0, int(shared.sum()), width):
         lo, hi = np.searchsorted(column, [begin, begin + width])
         block = np.zeros((len(rows), min(width, int(shared.sum()) - begin)), dtype=np.float32)
@@ -269,7 +269,8 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             out += compare(list(zip(*fields, strict=True)), part["side"].tolist(), threshold)
         return pd.DataFrame(out, columns=[KEY, "links", "root"])
 
-    compared = compressed(rows).join(dealt, KEY).groupBy("task").applyInPandas(run, f"{KEY} long, links long, root long")
+    # A merge at every size: whether the members are few enough to broadcast must not change what is shuffled.
+    compared = compressed(rows).join(dealt.hint("merge"), KEY).groupBy("task").applyInPandas(run, f"{KEY} long, links long, root long")
     found = materialise(compared, "links")
     links = found.groupBy(KEY).agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col(KEY).alias("a"), F.col("root").alias("b")))
