@@ -31,19 +31,34 @@ WINDOW = ["head", "tail", KEY, "first"]
 SETTLED = f"{KEY} long, first long, windows int, offset int, open boolean"
 
 
+#: Rows gathered before they leave a Python worker.
+GATHERED = 200_000
+
+
+def gathered(pieces: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Pieces of equal columns as batches of bounded size (or of one piece)."""
+    held: list[tuple[np.ndarray, ...]] = []
+    count = 0
+    for piece in pieces:
+        held.append(piece)
+        count += len(piece[0])
+        if count >= GATHERED:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
+            held, count = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
+
+
 def anchor_rows(rows: DataFrame, units: Units, width: int, seed: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(6)]
-            for key, body in zip(batch[KEY].to_pylist(), batch["body"].to_pylist(), strict=True):
-                for seeds, context, first, count, offset in fingerprints.anchors(units(body), width, seed):
-                    values = (seeds.view(np.int64), context.view(np.int64), np.full(len(seeds), key), first, count, offset)
-                    for column, value in zip(out, values, strict=True):
-                        column.append(value)
-            if out[0]:
-                kinds = (np.int64, np.int64, np.int64, np.int64, np.int32, np.int32)
-                arrays = [pa.array(np.concatenate(c).astype(k)) for c, k in zip(out, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["seed", "context", KEY, "first", "windows", "offset"])
+            yield from gathered(_anchors(batch), ["seed", "context", KEY, "first", "windows", "offset"])
+
+    def _anchors(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        for key, body in zip(batch[KEY].to_pylist(), batch["body"].to_pylist(), strict=True):
+            for seeds, context, first, count, offset in fingerprints.anchors(units(body), width, seed):
+                own = np.full(len(seeds), key)
+                yield seeds.view(np.int64), context.view(np.int64), own, first, count.astype(np.int32), offset.astype(np.int32)
 
     return rows.select(KEY, "body").mapInArrow(cut, ANCHORS)
 
@@ -85,18 +100,15 @@ def open_windows(rows: DataFrame, settled: DataFrame, units: Units, width: int,
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(4)]
-            columns = [batch[c].to_pylist() for c in (KEY, "packed", "firsts", "counts")]
-            for key, packed, firsts, counts in zip(*columns, strict=True):
-                names = fingerprints.windows(units(unpack(packed)), span).view(np.int64)
-                counts = np.asarray(counts)
-                runs = np.cumsum(counts) - counts
-                starts = np.repeat(np.asarray(firsts) - runs, counts) + np.arange(counts.sum())
-                for column, value in zip(out, (names[starts], names[starts + width - span], np.full(len(starts), key), starts), strict=True):
-                    column.append(value)
-            if out[0]:
-                arrays = [pa.array(np.concatenate(c)) for c in out]
-                yield pa.RecordBatch.from_arrays(arrays, WINDOW)
+            yield from gathered(_windows(batch), WINDOW)
+
+    def _windows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        for key, packed, firsts, counts in zip(*(batch[c].to_pylist() for c in (KEY, "packed", "firsts", "counts")), strict=True):
+            names = fingerprints.windows(units(unpack(packed)), span).view(np.int64)
+            counts = np.asarray(counts)
+            runs = np.cumsum(counts) - counts
+            starts = np.repeat(np.asarray(firsts) - runs, counts) + np.arange(counts.sum())
+            yield names[starts], names[starts + width - span], np.full(len(starts), key), starts
 
     wanted = (
         settled.filter("open")
