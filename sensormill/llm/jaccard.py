@@ -162,15 +162,20 @@ def hang_together(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def compare(rows: list[tuple[int, int, int, bytes]], side: list[int], threshold: float) -> list[tuple[int, int, int]]:
+def compare(
+    rows: list[tuple[int, int, int, bytes]], side: list[int], threshold: float, itself: bool
+) -> list[tuple[int, int, int]]:
     """(key, links, key of the smallest member it hangs together with) for the (key, copies, _, packed) of one task.
 
-    ``side`` is 0 and 1 for the two cells of a pair, or all 0 where a cell meets itself.
+    With ``itself`` a cell meets itself. Else ``side`` is 0 and 1 for the two cells of a pair; one of them may hold no
+    rows, and then there is nothing to compare: links inside a cell are counted only where it meets itself.
     """
+    if not itself and len(set(side)) < 2:
+        return []
     sets = [shingles(unpack(r[3])) for r in rows]
     table = np.array([signature(s) for s in sets])
     sides = np.array(side)
-    if sides.any():
+    if not itself:
         one, two = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
         a, b = candidate_pairs(table[one], table[two], threshold)
         a, b = one[a], two[b]
@@ -226,7 +231,10 @@ def _clusters(classes: DataFrame) -> DataFrame:
 
 
 def _tasks(members: DataFrame, threshold: float) -> DataFrame:
-    """(task, part, side, _row, copies): which representatives each task compares; ``part`` keeps small clusters apart."""
+    """(task, part, side, itself, _row, copies): which representatives each task compares.
+
+    ``part`` keeps small clusters apart, ``itself`` says that a cell meets itself and not another one.
+    """
     sized = members.withColumns({
         "step": F.floor(F.log("size") / F.lit(-float(np.log(threshold)))).cast("int"),
         "load": F.greatest("size", F.lit(LEAST_LOAD)),
@@ -237,7 +245,7 @@ def _tasks(members: DataFrame, threshold: float) -> DataFrame:
     known = sized.join(totals, "cluster")
     small = known.filter(F.col("total") <= CELL).select(
         F.concat_ws(":", F.lit("s"), F.pmod(F.xxhash64("cluster"), F.lit(slots))).alias("task"),
-        F.col("cluster").alias("part"), F.lit(0).alias("side"), KEY, "copies",
+        F.col("cluster").alias("part"), F.lit(0).alias("side"), F.lit(True).alias("itself"), KEY, "copies",
     )
     large = known.filter(F.col("total") > CELL)
     cells = large.groupBy("cluster", "step").agg(F.ceil(F.sum("load") / F.lit(CELL)).cast("int").alias("salts"))
@@ -247,7 +255,7 @@ def _tasks(members: DataFrame, threshold: float) -> DataFrame:
     own, other = F.struct("step", "salt"), F.struct(F.col("other").alias("step"), F.col("other_salt").alias("salt"))
     pairs = met.select(
         F.concat_ws(":", "cluster", *(F.least(own, other)[c] for c in ("step", "salt")), *(F.greatest(own, other)[c] for c in ("step", "salt"))).alias("task"),
-        F.lit(0).cast("bigint").alias("part"), (own > other).cast("int").alias("side"), KEY, "copies",
+        F.lit(0).cast("bigint").alias("part"), (own > other).cast("int").alias("side"), (own == other).alias("itself"), KEY, "copies",
     )
     return small.unionByName(pairs)
 
@@ -266,7 +274,7 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         out = []
         for _, part in pdf.groupby("part", sort=False):
             fields = (part[c].tolist() for c in (KEY, "copies", "part", "packed"))
-            out += compare(list(zip(*fields, strict=True)), part["side"].tolist(), threshold)
+            out += compare(list(zip(*fields, strict=True)), part["side"].tolist(), threshold, bool(part["itself"].iloc[0]))
         return pd.DataFrame(out, columns=[KEY, "links", "root"])
 
     # A merge at every size: whether the members are few enough to broadcast must not change what is shuffled.

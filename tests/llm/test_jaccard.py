@@ -59,6 +59,18 @@ def test_large_clusters_in_many_cells(spark, monkeypatch):
     assert Counter(map(tuple, found.collect())) == expected(rows)
 
 
+def test_links_inside_a_cell_count_once_where_other_cells_are_empty(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL", 300)  # below the size of one document: more cells than documents
+    monkeypatch.setattr(jaccard, "LEAST_LOAD", 1)
+    rows = []
+    for group in range(12):
+        base = [f"g{group}v{i}" for i in range(400)]
+        rows += [(10 * group + i, " ".join([*base[:-1], f"own{i}"])) for i in range(2 + group % 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.linked(docs).select("doc_id", "class_id", "n_links")
+    assert Counter(map(tuple, found.collect())) == expected(rows)
+
+
 def test_one_of_each(spark):
     rows = [(4, "a b c d e f"), (2, "a b c d e f"), (9, "x y z"), (7, None), (8, None)]
     docs = spark.createDataFrame([(*r, "kept") for r in rows], "doc_id long, text string, class_id string")
