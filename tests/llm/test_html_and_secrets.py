@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from sensormill.llm import html_tree, secret_ledger
 
 PAGES = "page_id long, url string, html string, host string, tree int"
@@ -43,6 +45,37 @@ def test_boilerplate_goes_by_entropy_where_no_article_is_marked(spark, monkeypat
         assert all(found[i] == re.search("class=y><p>(.*?)</p>", rows[i][2])[1] for i in range(40))
 
 
+STORY = "The story goes on with words that no other page has, and it is the longest text by far on this page. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    "<html class=nav-closed><body><p>{}</p></body></html>",
+    "<body class='no-sidebar'><p>{}</p>",
+    "<body class='sidebar widgets'><article><p>{}</p></article><div class=sidebar>s</div>",
+    "<div class='content has-sidebar'><p>{}</p></div><div class=sidebar>s</div>",
+    "<div class='content sidebar-right'><p>{}</p><div class=sidebar>s</div></div>",
+    "<div id='page-header-1'><main><p>{}</p></main></div><nav>n</nav>",
+    "<article class='post comments-open'><p>{}</p></article>",
+    "<main class='nav-page'><article class='post social'><p>{}</p></article></main>",
+])
+def test_words_on_wrappers_do_not_lose_the_page(page):
+    assert html_tree.main_text(page.format(STORY), {}) == STORY.strip()
+
+
+def test_plain_story_beside_a_teaser_card(spark):
+    pages = [f"<body><div class=story><p>{STORY} {i}</p></div><article class=card>Read {i} too</article><div class=top>Same on all pages</div>" for i in range(9)]
+    rows = [(i, "http://t.com/", page, "", 0) for i, page in enumerate(pages)]
+    found = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"{STORY} {i}".replace("  ", " ") + f"\nRead {i} too" for i in range(9)}
+
+
+def test_furniture_beside_a_story_still_goes():
+    more = "long comment of a reader " * 90
+    assert html_tree.main_text(f"<article><p>{STORY}</p><section id=comments><p>{more}</p></section></article>", {}) == STORY.strip()
+    assert html_tree.main_text(f"<div class=x><p>{STORY}</p></div><div id=comments><article class=comment>{more}</article></div>", {}) == STORY.strip()
+    assert html_tree.main_text(f"<article><p>{STORY}</p></article><div class=related><article>Card</article></div>", {}) == STORY.strip()
+
+
 def test_copies_of_an_article_stay(spark):
     rows = [(i, "http://h.com/", "<article><p>copied text</p></article>", "", 0) for i in range(30)]
     assert {r.text for r in html_tree.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"copied text"}
