@@ -6,7 +6,7 @@ the table files of a log hold one row per document or per language.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -33,12 +33,23 @@ def _write(path: str, data: bytes) -> None:
         out.write(data)
 
 
-def _feather(path: str, columns: dict) -> None:
-    sink = pa.BufferOutputStream()
-    content = pa.table(columns)
-    with pa.ipc.new_file(sink, content.schema) as out:
-        out.write_table(content, max_chunksize=1024)
-    _write(path, sink.getvalue().to_pybytes())
+class _Feather:
+    """A Feather file that is written batch by batch, so that none of it is held."""
+
+    def __init__(self, path: str, schema: pa.Schema):
+        system, name, _ = locate(path)
+        system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        self.out = system.open_output_stream(name)
+        self.writer = pa.ipc.new_file(self.out, schema)
+        self.schema = schema
+
+    def write(self, columns: dict) -> None:
+        content = pa.table({f.name: pa.array(columns[f.name], f.type) for f in self.schema}, schema=self.schema)
+        self.writer.write_table(content, max_chunksize=1024)
+
+    def close(self) -> None:
+        self.writer.close()
+        self.out.close()
 
 
 def _payloads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -48,22 +59,62 @@ def _payloads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"n": [len(batch)]})
 
 
-def _table_files(rows: pd.DataFrame) -> pd.DataFrame:
-    """The four table files of one log; its rows are ids and lengths only."""
-    root, rows = rows["root"].iloc[0], rows.sort_values("doc_id")
+def _schema(**kinds: pa.DataType) -> pa.Schema:
+    return pa.schema(list(kinds.items()))
+
+
+_POSES = _schema(timestamp_ns=pa.int64(), **dict.fromkeys(POSE_COLUMNS, pa.float64()), unused=pa.string())
+_BOXES = _schema(
+    timestamp_ns=pa.int64(), track_uuid=pa.string(), category=pa.string(),
+    **dict.fromkeys((*BOX_COLUMNS, *POSE_COLUMNS), pa.float64()), num_interior_pts=pa.int64(),
+)
+_MOUNTED = _schema(sensor_name=pa.string(), **dict.fromkeys(POSE_COLUMNS, pa.float64()))
+_INNER = _schema(sensor_name=pa.string(), **dict.fromkeys(INTRINSIC_COLUMNS, pa.float64()))
+
+
+def _streamed(batches: Iterator[pd.DataFrame], files: dict[str, pa.Schema], columns: Callable[[pd.DataFrame], list[dict]]) -> Iterator[pd.DataFrame]:
+    """Writes the files of every log, whose rows follow each other over batches; of a log no more than a batch is held."""
+    root, written = None, []
+    try:
+        for batch in batches:
+            for one, rows in batch.groupby("root", sort=False):
+                if one != root:
+                    while written:
+                        written.pop().close()
+                    root = one
+                    for name, schema in files.items():
+                        written.append(_Feather(f"{root}/{name}", schema))
+                for file, content in zip(written, columns(rows), strict=True):
+                    file.write(content)
+            yield pd.DataFrame({"n": [len(batch)]})
+    finally:
+        while written:
+            written.pop().close()
+
+
+def _pose_and_boxes(rows: pd.DataFrame) -> list[dict]:
     stamps, sizes = rows["doc_id"].tolist(), rows["n_chars"].astype(float).tolist()
     pose = {c: sizes if c == "qw" else [0.0] * len(sizes) for c in POSE_COLUMNS}
-    _feather(f"{root}/city_SE3_egovehicle.feather", {"timestamp_ns": stamps, **pose, "unused": ["x"] * len(stamps)})
     boxes = {c: sizes if c == "length_m" else [1.0] * len(sizes) for c in (*BOX_COLUMNS, *POSE_COLUMNS)}
     names = {"track_uuid": [f"t{i}" for i in stamps], "category": rows["lang"].tolist()}
-    _feather(f"{root}/annotations.feather", {"timestamp_ns": stamps, **names, **boxes, "num_interior_pts": stamps})
-    counts = rows.groupby("lang").size()
-    mounted = {c: [float(n) for n in counts] for c in POSE_COLUMNS}
-    _feather(f"{root}/calibration/egovehicle_SE3_sensor.feather", {"sensor_name": counts.index.tolist(), **mounted})
-    seen = counts[counts.index != "en"]
-    inner = {c: [float(n) for n in seen] for c in INTRINSIC_COLUMNS}
-    _feather(f"{root}/calibration/intrinsics.feather", {"sensor_name": pa.array(seen.index.tolist(), pa.string()), **inner})
-    return pd.DataFrame({"n": [len(rows)]})
+    return [{"timestamp_ns": stamps, **pose, "unused": ["x"] * len(stamps)}, {"timestamp_ns": stamps, **names, **boxes, "num_interior_pts": stamps}]
+
+
+def _calibration(counts: pd.DataFrame) -> list[dict]:
+    seen = counts[counts["lang"] != "en"]
+    mounted, inner = counts["n"].astype(float).tolist(), seen["n"].astype(float).tolist()
+    return [{"sensor_name": counts["lang"].tolist(), **dict.fromkeys(POSE_COLUMNS, mounted)}, {"sensor_name": seen["lang"].tolist(), **dict.fromkeys(INTRINSIC_COLUMNS, inner)}]
+
+
+def _table_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pose and annotations from rows sorted by root and doc_id."""
+    return _streamed(batches, {"city_SE3_egovehicle.feather": _POSES, "annotations.feather": _BOXES}, _pose_and_boxes)
+
+
+def _calibration_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The calibration files from the counts of each language, sorted by root and lang."""
+    files = {"calibration/egovehicle_SE3_sensor.feather": _MOUNTED, "calibration/intrinsics.feather": _INNER}
+    return _streamed(batches, files, _calibration)
 
 
 def _tree(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
@@ -75,8 +126,13 @@ def _tree(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     files = documents.select(F.when(F.col("lang") == "en", lidar).otherwise(camera).alias("path"), "text")
     if payloads:
         files.mapInPandas(_payloads, "n long").agg(F.sum("n")).collect()
-    rows = documents.select("source", home.alias("root"), "doc_id", "lang", "n_chars")
-    rows.groupBy("source").applyInPandas(_table_files, "n long").agg(F.sum("n")).collect()
+    rows = documents.select(home.alias("root"), "doc_id", "lang", "n_chars")
+    # A log has one file of each kind, so one task writes it; it streams from the sorted shuffle and holds no group.
+    sorted_rows = rows.repartition("root").sortWithinPartitions("root", "doc_id")
+    sorted_rows.mapInPandas(_table_files, "n long").agg(F.sum("n")).collect()
+    counts = rows.where("lang IS NOT NULL").groupBy("root", "lang").agg(F.count("*").alias("n"))
+    sorted_counts = counts.repartition("root").sortWithinPartitions("root", "lang")
+    sorted_counts.mapInPandas(_calibration_files, "n long").agg(F.sum("n")).collect()
     return log_folders(documents.select(F.col("source").alias("log_id")).distinct(), root)
 
 

@@ -1,6 +1,9 @@
+import os
 import re
 import uuid
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from logtree import make_log
 
@@ -11,6 +14,7 @@ from sensormill.operators.normalise import canonical_tables, unreadable_stamps
 from sensormill.plans.ingest import ingest, plan_commits
 from sensormill.plans.reconcile import active_rows, reconcile, reconcile_keys
 from sensormill.plans.store import ParquetStore, next_snapshot_id
+from sensormill.queries import ingested
 from sensormill.sources.files import hash_files, list_files, log_folders, log_list
 from sensormill.sources.keys import source_keys
 
@@ -236,3 +240,20 @@ def test_log_list_skips_blank_lines(spark, tmp_path):
     (tmp_path / "ids.txt").write_text("a\n\n b \na\n")
     listed = log_folders(log_list(spark, str(tmp_path / "ids.txt")), "/data/")
     assert sorted(tuple(r) for r in listed.collect()) == [("a", "/data/a"), ("b", "/data/b")]
+
+
+def test_table_files_of_a_log_are_written_batch_by_batch(tmp_path):
+    hot, small, sizes = f"{tmp_path}/hot", f"{tmp_path}/small", []
+
+    def batches():
+        for i in range(6):
+            ids = range(2000 * i, 2000 * (i + 1))
+            yield pd.DataFrame({"root": hot, "doc_id": ids, "lang": "de", "n_chars": 3})
+            sizes.append(os.path.getsize(f"{hot}/annotations.feather"))
+        yield pd.DataFrame({"root": [hot, small], "doc_id": [12000, 7], "lang": ["en", None], "n_chars": [3, 4]})
+
+    assert sum(part["n"][0] for part in ingested._table_files(batches())) == 12002
+    assert sizes == sorted(set(sizes)) and sizes[0] > 0  # every batch is in the file before the next one is asked for
+    for name in ("city_SE3_egovehicle", "annotations"):
+        assert pa.ipc.open_file(f"{hot}/{name}.feather").read_all()["timestamp_ns"].to_pylist() == list(range(12001))
+        assert pa.ipc.open_file(f"{small}/{name}.feather").read_all()["timestamp_ns"].to_pylist() == [7]
