@@ -6,10 +6,13 @@ finished lines twice, and holds keys of pending orders that no source has.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormill.functions.text import format_number
+from sensormill.functions.timing import epoch_ns
 from sensormill.operators.multiset import (
     compare,
     differences,
@@ -151,6 +154,54 @@ def row_hash_differences(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("left_n", "right_n").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_CASES = {
+    "pieces": "SELECT * FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT * FROM orders WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL",
+    "price": "SELECT * REPLACE (CASE WHEN o_orderkey % 500 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders",
+    "repeat": "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 500 = 7",
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS compared, (SELECT count(*) FROM orders) AS left_rows, (SELECT count(*) FROM ({other})) AS right_rows,
+NOT EXISTS (SELECT * FROM orders EXCEPT ALL SELECT * FROM ({other})) AND NOT EXISTS (SELECT * FROM ({other}) EXCEPT ALL SELECT * FROM orders) AS same"""
+        for name, other in _CASES.items()
+    )
+)
+def multiset_equality_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns of the orders against their pieces, against a changed price and against a few rows twice."""
+    orders = table(spark, folder, "orders")
+    orders = orders.withColumn("o_orderdate", epoch_ns(orders, "o_orderdate"))
+    few = F.col("o_orderkey") % 500 == 7
+    price = F.when(few, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    others = {
+        "pieces": orders.where(finished).unionByName(orders.where(~finished)),
+        "price": orders.withColumn("o_totalprice", price),
+        "repeat": orders.unionByName(orders.where(few)),
+    }
+    cases = [same_rows(orders, other, orders.columns).select(F.lit(name).alias("compared"), "*") for name, other in others.items()]
+    return reduce(DataFrame.unionByName, cases)
+
+
+@query(
+    """WITH b AS (SELECT *, 1 AS s, 0 AS t FROM lineitem
+  UNION ALL SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN l_tax + 1 ELSE l_tax END AS l_tax), 0 AS s, 1 AS t FROM lineitem
+  UNION ALL SELECT *, 0 AS s, 1 AS t FROM lineitem WHERE l_returnflag = 'A'),
+c AS (SELECT sum(s) AS left_n, sum(t) AS right_n FROM b
+  GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
+SELECT CAST(left_n AS BIGINT) AS left_n, CAST(right_n AS BIGINT) AS right_n, count(*) AS n_rows FROM c WHERE left_n <> right_n GROUP BY ALL"""
+)
+def row_hash_differences_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """``row_hash_differences`` over all columns: the other side has another tax on returned lines and accepted ones twice."""
+    lines = table(spark, folder, "lineitem")
+    lines = lines.withColumn("l_shipdate", epoch_ns(lines, "l_shipdate"))
+    tax = F.when(F.col("l_returnflag") == "R", F.col("l_tax") + 1).otherwise(F.col("l_tax"))
+    other = lines.withColumn("l_tax", tax).unionByName(lines.where("l_returnflag = 'A'"))
+    found = row_differences(lines, other, lines.columns)
+    return found.groupBy("left_n", "right_n").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL")
 def source_key_counts(spark: SparkSession, folder: str) -> DataFrame:
     return key_counts(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])

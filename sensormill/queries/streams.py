@@ -14,12 +14,13 @@ from sensormill.streaming import replay, sinks
 from sensormill.workspace import fresh_path
 
 COLUMNS = ["event_id", "user_id", "event_type", "timestamp_ns", "value"]
+WHOLE = [*COLUMNS, "props"]
 # Wide enough for the whole replayed range: the delay is part of the comparison, fixed before the run.
 DELAY = "60 days"
 
 
 def _event_rows(events: DataFrame) -> DataFrame:
-    return events.withColumn("timestamp_ns", epoch_ns(events, "ts")).select(*COLUMNS)
+    return events.withColumn("timestamp_ns", epoch_ns(events, "ts")).select(*WHOLE)
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,7 +34,7 @@ def _replayed_twice(spark: SparkSession, folder: str) -> DataFrame:
     """Every event is delivered twice; the sink's table holds it once."""
     out = fresh_path(spark, "replayed")
     twice = _event_stream(spark, folder).union(_event_stream(spark, folder))
-    once = replay.without_repeats(twice, "event_time", "event_id", DELAY).select(*COLUMNS)
+    once = replay.without_repeats(twice, "event_time", "event_id", DELAY).select(*WHOLE)
     sinks.run_available(once, sinks.append_batches(f"{out}/table"), f"{out}/checkpoint")
     return sinks.read_batches(spark, f"{out}/table", once.schema)
 
@@ -43,10 +44,16 @@ def stream_table(spark: SparkSession, folder: str) -> DataFrame:
     return _replayed_twice(spark, folder).select(*COLUMNS)
 
 
+@query("SELECT event_id, user_id, event_type, epoch_ns(ts) AS timestamp_ns, value, props FROM events")
+def stream_whole_table(spark: SparkSession, folder: str) -> DataFrame:
+    """``stream_table`` with every column of the events."""
+    return _replayed_twice(spark, folder).select(*WHOLE)
+
+
 @query("SELECT count(*) AS left_rows, count(*) AS right_rows, TRUE AS same FROM events")
 def stream_equals_batch(spark: SparkSession, folder: str) -> DataFrame:
     batch = _event_rows(table(spark, folder, "events"))
-    return replay.equivalence(batch, _replayed_twice(spark, folder), COLUMNS)
+    return replay.equivalence(batch, _replayed_twice(spark, folder), WHOLE)
 
 
 @query(
