@@ -1,15 +1,15 @@
-"""Exact substring deduplication over bytes by distributed prefix doubling.
+"""Substring deduplication over bytes by winnowing with fingerprints, in place of prefix doubling over a suffix array.
 
-The suffixes of all texts are compared by (position, rank) pairs at growing offsets, Spark doing the sorting:
+There are no ranks, no growing offsets and no rounds until every suffix is unique:
 
-* First ranks: prefixes of three quarters of the threshold, 300 bytes. Every 400-byte string owns one sampled start of
-  such a prefix (its smallest by hash), so only every 50th suffix has to enter the sort. A suffix whose rank is unique
-  drops out, and suffixes that agree in all that their sample stands for are settled together.
-* Doubling: the suffixes still open are sorted by the pair (rank of their first 300 bytes, rank of the 300 bytes that
-  end at the threshold). Twice 300 is past the threshold, so the two prefixes overlap and doubling stops here.
+* Anchors: every 400-byte string owns one sampled start of a 300-byte prefix (its smallest by hash), so only every 50th
+  suffix enters a sort. An anchor whose fingerprint is unique drops out, and anchors that agree in all that their sample
+  stands for are settled together by a fingerprint of their surroundings.
+* Windows: the 400-byte windows still open are sorted once by the pair of fingerprints of their first and last 300
+  bytes, which overlap.
 
-Ranks are 64-bit fingerprints instead of dense numbers: they name equal prefixes alike without a global count. Doubling
-over every suffix would sort 16 bytes or more per byte of text in every round; the sample makes that 0.5.
+Results are whole up to equal 64-bit fingerprints of different strings. Doubling over every suffix would, as computed,
+sort 16 bytes or more per byte of text in every round; the sample makes that 0.5. A try of doubling was not measured.
 
 A byte goes if a ``width``-byte string over it also starts anywhere else, in the same text or another one. Strings are
 judged on the input and never cross texts. NULL counts as empty; texts shorter than the threshold lose nothing; repeated
