@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensormill.llm import decontaminate, html_tree, jaccard, mixing, quality, secret_ledger, substring_dedup, suffix_dedup, topk, urls
+from sensormill.llm import decontaminate, embedding_dedup, html_tree, jaccard, mixing, oracles, quality, secret_ledger, spelling, substring_dedup, suffix_dedup, topk, urls
 from sensormill.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,16 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document, found once per distinct text."""
     found, _ = secret_ledger.findings(table(spark, folder, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query(oracles.SPELLING)
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word with its near words, its more frequent form and its root."""
+    return spelling.variants(table(spark, folder, "documents")).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+@query(oracles.EMBEDDINGS)
+def op12_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links at a cosine of 0.95 and the component of every vector."""
+    found = embedding_dedup.near_copies(table(spark, folder, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
