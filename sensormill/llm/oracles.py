@@ -51,3 +51,28 @@ counts AS (SELECT x AS vec_id, count(*) AS n FROM link GROUP BY x)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
        coalesce(component_id, e.vec_id) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)"""
+
+COLLOCATIONS = f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\x09]+'), lambda w: w <> '') AS w FROM pieces),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang),
+sizes AS (SELECT lang, w, unnest(range(1, 6)) AS m FROM lists),
+starts AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM sizes WHERE len(w) >= m),
+f AS (SELECT lang, m, list_slice(w, i, i + m - 1) AS p, count(*) AS a FROM starts GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, m, p, a, unnest(range(1, m)) AS k FROM f WHERE m >= 2),
+scored AS (
+  SELECT c.lang, c.m, c.p, c.a, c.k, l.a AS l, r.a AS r, n.n,
+         (1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS score
+  FROM cuts c JOIN n USING (lang) JOIN f l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, c.k)
+  JOIN f r ON r.lang = c.lang AND r.p = list_slice(c.p, c.k + 1, c.m)),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS place FROM scored),
+longer AS (
+  SELECT lang, list_slice(p, 1, m - 1) AS p, a AS b FROM f WHERE m >= 3
+  UNION ALL SELECT lang, list_slice(p, 2, m), a FROM f WHERE m >= 3),
+most AS (SELECT lang, p, max(b) AS b FROM longer GROUP BY lang, p),
+kept AS (
+  SELECT s.lang, array_to_string(s.p, ' ') AS phrase, s.a, s.l, s.r, s.n, CAST(s.score AS BIGINT) AS score
+  FROM lowest s LEFT JOIN most USING (lang, p) WHERE place = 1 AND NOT coalesce(100 * b >= 100 * s.a, false))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000"""

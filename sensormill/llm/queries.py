@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensormill.llm import decontaminate, embedding_dedup, html_tree, jaccard, mixing, oracles, quality, secret_ledger, spelling, substring_dedup, suffix_dedup, topk, urls
+from sensormill.llm import (
+    collocations,
+    decontaminate,
+    embedding_dedup,
+    html_tree,
+    jaccard,
+    mixing,
+    oracles,
+    quality,
+    secret_ledger,
+    spelling,
+    substring_dedup,
+    suffix_dedup,
+    topk,
+    urls,
+)
 from sensormill.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +147,9 @@ def op12_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Links at a cosine of 0.95 and the component of every vector."""
     found = embedding_dedup.near_copies(table(spark, folder, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+@query(oracles.COLLOCATIONS)
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 strongest phrases of each language."""
+    return collocations.collocations(table(spark, folder, "documents"))
