@@ -53,14 +53,20 @@ def gate_mart(outcomes: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     )
     # Count at the finest level first: rollup multiplies its input rows by the number of levels.
     finest = flags.groupBy(*dimensions).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_e").alias("_e"), F.sum("_p").alias("_p")
+        F.count(F.lit(1)).alias("n"), F.sum("_e").alias("evaluated"), F.sum("_p").alias("passed")
     )
-    return finest.rollup(*dimensions).agg(
+    return rolled_up(finest, dimensions)
+
+
+def rolled_up(counts: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Counters for every prefix of ``dimensions`` from partial counts (dimensions, n, evaluated, passed)."""
+    n, evaluated, passed = F.sum("n"), F.sum("evaluated"), F.sum("passed")
+    return counts.rollup(*dimensions).agg(
         F.grouping_id().cast("bigint").alias("level"),
-        F.sum("_e").alias("evaluated"),
-        F.sum("_p").alias("passed"),
-        (F.sum("_e") - F.sum("_p")).alias("failed"),
-        (F.sum("_n") - F.sum("_e")).alias("skipped"),
+        evaluated.alias("evaluated"),
+        passed.alias("passed"),
+        (evaluated - passed).alias("failed"),
+        (n - evaluated).alias("skipped"),
     )
 
 

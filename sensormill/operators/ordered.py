@@ -131,6 +131,61 @@ def with_position(
     return rows.withColumn(name, F.sum("_n").over(so_far) - 1).where("_own").drop(BIN, "_n", "_own")
 
 
+def with_running_sum(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    width: float | None = None,
+    name: str = "running",
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows of the group up to and including each; ``order`` is unique within it."""
+    cut = binned(df, keys, [*order], width)
+    sizes = cut.groupBy(*keys, BIN).agg(F.sum(value).alias("_size"))
+    borrowed = scan_bins(sizes, keys, {"_v": ("_size", "sum", "before")})
+    rows = cut.withColumns({"_v": F.col(value), "_own": F.lit(True)}).unionByName(
+        borrowed.withColumn("_own", F.lit(False)), allowMissingColumns=True
+    )
+    so_far = Window.partitionBy(*keys, BIN).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(name, F.sum("_v").over(so_far)).where("_own").drop(BIN, "_v", "_own")
+
+
+def with_neighbours(
+    points: DataFrame,
+    marks: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    payload: Sequence[str],
+    width: float | None = None,
+) -> DataFrame:
+    """Add to each point the structs ``before`` and ``after`` (time, payload): the marks that stand around it.
+
+    ``before`` is the last mark of the group at or before the point, ``after`` the first at or after it; of several
+    marks at one time the one of the greatest payload before and of the least after. NULL where there is none, and for
+    points without a time. Both sides are merged on one time line and cut into bins, so a crowded group is many tasks.
+    """
+    content = F.struct(F.col(time), *payload)
+    own = F.struct(*(F.col(c) for c in points.columns if c not in keys))
+    line = points.select(*keys, F.col(time).alias("_t"), own.alias("_point")).unionByName(
+        marks.where(F.col(time).isNotNull()).select(*keys, F.col(time).alias("_t"), content.alias("_mark")), allowMissingColumns=True
+    )
+    cut = binned(line, keys, ["_t"], width)
+    ends = cut.groupBy(*keys, BIN).agg(F.max("_mark").alias("_last"), F.min("_mark").alias("_first"))
+    outside = scan_bins(ends, keys, {"_before": ("_last", "max", "before"), "_after": ("_first", "min", "after")})
+    borrowed = outside.select(*keys, BIN, F.explode(F.array_compact(F.array("_before", "_after"))).alias("_mark"))
+    rows = cut.unionByName(borrowed.withColumn("_t", F.col(f"_mark.{time}")), allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, BIN)
+    # Rows of one time see each other: the frames are by value, not by row.
+    until, onwards = (Window.unboundedPreceding, Window.currentRow), (Window.currentRow, Window.unboundedFollowing)
+    seen = rows.withColumns({
+        "before": F.max("_mark").over(inside.orderBy("_t").rangeBetween(*until)),
+        "after": F.min("_mark").over(inside.orderBy("_t").rangeBetween(*onwards)),
+    }).where(F.col("_point").isNotNull())
+    timed = F.col("_t").isNotNull()
+    others = [F.col(f"_point.`{c}`").alias(c) for c in points.columns if c not in keys]
+    return seen.select(*keys, *others, F.when(timed, F.col("before")).alias("before"), F.when(timed, F.col("after")).alias("after"))
+
+
 def _ranks(cut: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Add ``_to``, the rank of the last copy of each value, and ``_total``; NULLs have no rank."""
     cut = cut.withColumn("_n", F.when(F.col(value).isNotNull(), F.col("copies")).otherwise(0))

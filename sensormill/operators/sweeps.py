@@ -173,6 +173,11 @@ def capture_rate(
 def to_world(points: DataFrame, poses: DataFrame) -> DataFrame:
     """Ego-frame points in world coordinates: rotate by the pose's quaternion, then translate."""
     pose = poses.select("log_id", F.col("timestamp_ns").alias("sweep_ns"), "qw", "qx", "qy", "qz", "tx_m", "ty_m", "tz_m")
+    return in_world(points.join(pose, ["log_id", "sweep_ns"]))
+
+
+def in_world(posed: DataFrame) -> DataFrame:
+    """The same for points that carry their pose: its columns become wx, wy, wz."""
     w, i, j, k = (F.col(q) for q in ("qw", "qx", "qy", "qz"))
     x, y, z = F.col("x"), F.col("y"), F.col("z")
     rows = {
@@ -180,7 +185,7 @@ def to_world(points: DataFrame, poses: DataFrame) -> DataFrame:
         "wy": 2 * (i * j + k * w) * x + (1 - 2 * (i * i + k * k)) * y + 2 * (j * k - i * w) * z + F.col("ty_m"),
         "wz": 2 * (i * k - j * w) * x + 2 * (j * k + i * w) * y + (1 - 2 * (i * i + j * j)) * z + F.col("tz_m"),
     }
-    return points.join(pose, ["log_id", "sweep_ns"]).withColumns(rows).drop("qw", "qx", "qy", "qz", "tx_m", "ty_m", "tz_m")
+    return posed.withColumns(rows).drop("qw", "qx", "qy", "qz", "tx_m", "ty_m", "tz_m")
 
 
 def ground_residuals(

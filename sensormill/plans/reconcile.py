@@ -16,11 +16,16 @@ def active_rows(store, table: str, log_ids: DataFrame | None = None) -> DataFram
     active = ledgers.latest(ledgers.activations(store.ledger()))
     if log_ids is not None:
         active = active.join(log_ids.select("log_id").distinct(), "log_id", "left_semi")
+    return commit_rows(store, table, active)
+
+
+def commit_rows(store, table: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``table`` that belong to the commits ``wanted`` (log_id, commit_id)."""
     if not hasattr(store, "read_appends"):
-        return ledgers.visible(store.read(table), active)
+        return ledgers.visible(store.read(table), wanted)
     # The ledger knows which append brought a commit's rows: only those folders are opened.
     brought = ledgers.commits(store.ledger()).select("log_id", "commit_id", F.col("committed_seq").alias("append_id"))
-    keep = active.join(brought, ["log_id", "commit_id"]).withColumnRenamed("commit_id", "ingest_commit_id")
+    keep = wanted.select("log_id", "commit_id").join(brought, ["log_id", "commit_id"]).withColumnRenamed("commit_id", "ingest_commit_id")
     appends = [r[0] for r in keep.select("append_id").distinct().collect()]  # at most one per batch of ingest
     rows = store.read_appends(table).where(F.col("append_id").isin(appends))
     return rows.join(keep, ["append_id", "log_id", "ingest_commit_id"], "left_semi").select(*store.schemas[table].fieldNames())

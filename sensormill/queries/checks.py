@@ -38,19 +38,20 @@ def calibration_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """WITH k AS (SELECT 'part/' || p_partkey AS calibration_id FROM part WHERE p_type <> 'ECONOMY')
+    """WITH k AS (SELECT 'part/' || p_partkey AS calibration_id, CASE WHEN p_size > 25 THEN 'F' ELSE 'O' END AS ingest_commit_id
+  FROM part WHERE p_type <> 'ECONOMY')
 SELECT l_linestatus AS ingest_commit_id, l_orderkey, l_linenumber, 'part/' || l_partkey AS calibration_id
-FROM lineitem WHERE l_returnflag <> 'N' AND 'part/' || l_partkey NOT IN (SELECT calibration_id FROM k)"""
+FROM lineitem WHERE l_returnflag <> 'N' AND ('part/' || l_partkey, l_linestatus) NOT IN (SELECT calibration_id, ingest_commit_id FROM k)"""
 )
 def dangling_references(spark: SparkSession, folder: str) -> DataFrame:
+    """A reference counts only within its commit: parts have one of the two, so the commit decides as well as the id."""
     name = F.when(F.col("l_returnflag") != "N", F.concat(F.lit("part/"), F.col("l_partkey")))
     rows = table(spark, folder, "lineitem").select(
         F.col("l_linestatus").alias("ingest_commit_id"), "l_orderkey", "l_linenumber", name.alias("calibration_id")
     )
-    known = table(spark, folder, "part").where("p_type <> 'ECONOMY'")
-    known = known.select(
+    known = table(spark, folder, "part").where("p_type <> 'ECONOMY'").select(
         F.concat(F.lit("part/"), F.col("p_partkey")).alias("calibration_id"),
-        F.explode(F.array(F.lit("F"), F.lit("O"))).alias("ingest_commit_id"),
+        F.when(F.col("p_size") > 25, "F").otherwise("O").alias("ingest_commit_id"),
     )
     return integrity.dangling_calibrations(rows, known)
 
@@ -126,13 +127,22 @@ def value_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     return quantiles(table(spark, folder, "orders"), ["o_orderpriority"], "o_totalprice", (1, 50, 95))
 
 
-_RASTER = """raster AS (SELECT CAST(p_size AS BIGINT) AS cell_x, CAST(substr(p_brand, 7) AS BIGINT) AS cell_y,
+RASTER_SQL = """raster AS (SELECT CAST(p_size AS BIGINT) AS cell_x, CAST(substr(p_brand, 7) AS BIGINT) AS cell_y,
   (floor(CAST(sum(CAST(p_retailprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*)) - 1000) / 64.0 AS height_m
   FROM part GROUP BY ALL)"""
 
 
+def raster(spark: SparkSession, folder: str) -> DataFrame:
+    """Heights per cell from the parts."""
+    price = F.sum(F.col("p_retailprice").cast("decimal(18,2)")).cast("double")
+    cells = table(spark, folder, "part").groupBy(
+        F.col("p_size").cast("bigint").alias("cell_x"), F.expr("CAST(substring(p_brand, 7) AS BIGINT)").alias("cell_y")
+    )
+    return cells.agg(((F.floor(price / F.count(F.lit(1))) - 1000) / F.lit(64.0)).alias("height_m"))
+
+
 @query(
-    f"""WITH {EVENT_FRAMES_SQL}, {_RASTER},
+    f"""WITH {EVENT_FRAMES_SQL}, {RASTER_SQL},
 p AS (SELECT log_id, CAST(floor(value) AS BIGINT) AS cell_x, CAST(floor(k / 4) AS BIGINT) AS cell_y, CAST(k AS DOUBLE) / 64 AS wz
   FROM frames)
 SELECT p.log_id, count(*) AS n_points, count(height_m) AS n_on_raster, avg(wz - height_m) AS mean_m,
@@ -147,16 +157,7 @@ def ground_residual(spark: SparkSession, folder: str) -> DataFrame:
         F.floor(F.col("k") / 4).cast("double").alias("wy"),
         (F.col("k") / F.lit(64.0)).alias("wz"),
     )
-    price = F.sum(F.col("p_retailprice").cast("decimal(18,2)")).cast("double")
-    raster = (
-        table(spark, folder, "part")
-        .groupBy(
-            F.col("p_size").cast("bigint").alias("cell_x"),
-            F.expr("CAST(substring(p_brand, 7) AS BIGINT)").alias("cell_y"),
-        )
-        .agg(((F.floor(price / F.count(F.lit(1))) - 1000) / F.lit(64.0)).alias("height_m"))
-    )
-    return sweeps.ground_residuals(points, raster, ["log_id"], cell_m=1.0, region=[])
+    return sweeps.ground_residuals(points, raster(spark, folder), ["log_id"], cell_m=1.0, region=[])
 
 
 def _outcomes(spark: SparkSession, folder: str) -> DataFrame:

@@ -142,29 +142,21 @@ def commit_id_membership(spark: SparkSession, folder: str) -> DataFrame:
     return ops.commit_id_sets(lines, orders.select(F.col("o_orderkey").alias("ingest_commit_id")))
 
 
-COUNTED = ("customer", "documents", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
-GIVEN = (*COUNTED, "benchmark", "conversations", "embeddings", "labels", "pages")
+GIVEN = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
+    "lineitem", "nation", "orders", "pages", "part", "region", "supplier",
+)
 
 
-def _counts(spark: SparkSession, folder: str, names: tuple[str, ...]) -> DataFrame:
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in GIVEN))
+def rows_per_table(spark: SparkSession, folder: str) -> DataFrame:
     counts = [
         table(spark, folder, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
-        for t in names
+        for t in GIVEN
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in COUNTED))
-def rows_per_table(spark: SparkSession, folder: str) -> DataFrame:
-    return _counts(spark, folder, COUNTED)
-
-
-@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in GIVEN))
-def rows_per_given_table(spark: SparkSession, folder: str) -> DataFrame:
-    """``rows_per_table`` for all tables there are."""
-    return _counts(spark, folder, GIVEN)
-
-
 @query(
     """SELECT CAST(c_custkey AS VARCHAR) AS log_id, coalesce(min(epoch_ns(o_orderdate)), 0) AS start_ns,
   coalesce(max(epoch_ns(o_orderdate)), 0) AS end_ns

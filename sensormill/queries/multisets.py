@@ -125,35 +125,6 @@ def multiset_difference(spark: SparkSession, folder: str) -> DataFrame:
     return both.where(surplus != 0).select(side.alias("side"), *keys, F.abs(surplus).alias("n"))
 
 
-@query(
-    """WITH a AS (SELECT o_custkey, o_orderpriority FROM orders),
-b AS (SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'
-      UNION ALL SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'F')
-SELECT (SELECT count(*) FROM a) AS left_rows, (SELECT count(*) FROM b) AS right_rows,
-  NOT EXISTS (SELECT * FROM a EXCEPT ALL SELECT * FROM b) AND NOT EXISTS (SELECT * FROM b EXCEPT ALL SELECT * FROM a)
-  AS same"""
-)
-def multiset_equality(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    pieces = orders.where("o_orderstatus = 'F'").unionByName(orders.where("o_orderstatus <> 'F'"))
-    return same_rows(orders, pieces, ["o_custkey", "o_orderpriority"])
-
-
-@query(
-    """WITH l AS (SELECT l_quantity, l_discount, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL),
-r AS (SELECT l_quantity, l_discount, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL)
-SELECT coalesce(l.n, 0) AS left_n, coalesce(r.n, 0) AS right_n, count(*) AS n_rows
-FROM l FULL JOIN r ON l.l_quantity = r.l_quantity AND l.l_discount = r.l_discount
-WHERE coalesce(l.n, 0) <> coalesce(r.n, 0) GROUP BY ALL"""
-)
-def row_hash_differences(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows compared by canonical hash; reported as how many rows have which pair of counts."""
-    lines = table(spark, folder, "lineitem")
-    columns = ["l_quantity", "l_discount"]
-    found = row_differences(lines.where("l_returnflag = 'R'"), lines.where("l_returnflag = 'A'"), columns)
-    return found.groupBy("left_n", "right_n").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 _CASES = {
     "pieces": "SELECT * FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT * FROM orders WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL",
     "price": "SELECT * REPLACE (CASE WHEN o_orderkey % 500 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders",
@@ -168,7 +139,7 @@ NOT EXISTS (SELECT * FROM orders EXCEPT ALL SELECT * FROM ({other})) AND NOT EXI
         for name, other in _CASES.items()
     )
 )
-def multiset_equality_cases(spark: SparkSession, folder: str) -> DataFrame:
+def multiset_equality(spark: SparkSession, folder: str) -> DataFrame:
     """All columns of the orders against their pieces, against a changed price and against a few rows twice."""
     orders = table(spark, folder, "orders")
     orders = orders.withColumn("o_orderdate", epoch_ns(orders, "o_orderdate"))
@@ -192,8 +163,8 @@ c AS (SELECT sum(s) AS left_n, sum(t) AS right_n FROM b
   GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
 SELECT CAST(left_n AS BIGINT) AS left_n, CAST(right_n AS BIGINT) AS right_n, count(*) AS n_rows FROM c WHERE left_n <> right_n GROUP BY ALL"""
 )
-def row_hash_differences_whole(spark: SparkSession, folder: str) -> DataFrame:
-    """``row_hash_differences`` over all columns: the other side has another tax on returned lines and accepted ones twice."""
+def row_hash_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows compared by canonical hash over all columns: the other side has another tax on returned lines and accepted ones twice."""
     lines = table(spark, folder, "lineitem")
     lines = lines.withColumn("l_shipdate", epoch_ns(lines, "l_shipdate"))
     tax = F.when(F.col("l_returnflag") == "R", F.col("l_tax") + 1).otherwise(F.col("l_tax"))

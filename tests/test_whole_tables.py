@@ -12,7 +12,7 @@ from sensormill.queries import streams
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test tables")
 
 
-@pytest.mark.parametrize("name", ["rows_per_given_table", "multiset_equality_cases", "row_hash_differences_whole", "stream_whole_table"])
+@pytest.mark.parametrize("name", ["rows_per_table", "multiset_equality", "row_hash_differences", "stream_table"])
 def test_query_equals_its_sql(spark, name):
     names, got = spark_rows(__spark_entry__.queries()[name](spark, FOLDER))
     sql_names, expected = sql_rows(connect(FOLDER), __spark_entry__.oracle_sql()[name])
@@ -20,12 +20,12 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_table_is_counted(spark):
-    counted = __spark_entry__.queries()["rows_per_given_table"](spark, FOLDER)
+    counted = __spark_entry__.queries()["rows_per_table"](spark, FOLDER)
     assert {r.table_name for r in counted.collect()} == set(TABLES)
 
 
 def test_changes_are_seen(spark):
-    cases = __spark_entry__.queries()["multiset_equality_cases"](spark, FOLDER)
+    cases = __spark_entry__.queries()["multiset_equality"](spark, FOLDER)
     assert {r.compared: r.same for r in cases.collect()} == {"pieces": True, "price": False, "repeat": False}
 
 
