@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensormill.operators import blobs, releases
+from sensormill.functions.timing import epoch_ns
+from sensormill.operators import blobs, releases, tree
 from sensormill.queries.encodings import _LANES, _float, _int, _row, _text
 from sensormill.queries.registry import EVENT_FRAMES_SQL, event_frames, query, table
 from sensormill.queries.timelines import DAY_NS
-from sensormill.workspace import fresh_path
+from sensormill.workspace import fresh_path, materialise
 
 
 def _references(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,3 +211,23 @@ def slice_predicate_scan(spark: SparkSession, folder: str) -> DataFrame:
     """A scan limited by a time predicate, which reaches the Parquet reader."""
     orders = table(spark, folder, "orders").where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
     return orders.groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+@query(
+    """WITH o AS (SELECT *, o_orderkey % 500 AS m FROM orders WHERE o_orderkey % 500 IN (7, 11, 13, 17))
+SELECT '{"o_orderkey":' || CASE m WHEN 17 THEN -o_orderkey ELSE o_orderkey END || '}' AS key,
+  CASE m WHEN 7 THEN 'changed' WHEN 11 THEN 'lost' WHEN 13 THEN 'doubled' ELSE 'added' END AS problem,
+  CASE m WHEN 17 THEN 0 ELSE 1 END::BIGINT AS n_pinned, CASE m WHEN 11 THEN 0 WHEN 13 THEN 2 ELSE 1 END::BIGINT AS n_now FROM o"""
+)
+def release_changed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows in which orders differ from their pin, found by descending two trees of fingerprints."""
+    orders = table(spark, folder, "orders")
+    orders = orders.withColumn("o_orderdate", epoch_ns(orders, "o_orderdate"))
+    last = F.col("o_orderkey") % 500
+    damaged = orders.where(last != 11).withColumn("o_totalprice", F.when(last == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    new = orders.where(last == 17).withColumn("o_orderkey", -F.col("o_orderkey"))
+    current = damaged.unionByName(orders.where(last == 13)).unionByName(new)
+    depth = tree.depth_for(orders.count(), rows_per_leaf=256)
+    then, now = (materialise(tree.marks(rows, ["o_orderkey"], depth), "order-marks") for rows in (orders, current))
+    leaves, _ = tree.unequal_leaves(tree.nodes(then, depth), tree.nodes(now, depth), depth)
+    return tree.differing_keys(then, now, leaves)

@@ -2,7 +2,7 @@ import pytest
 from logtree import make_log
 from pyspark.sql import functions as F
 
-from sensormill.operators import releases
+from sensormill.operators import releases, tree
 from sensormill.plans.backfill import backfill
 from sensormill.plans.ingest import ingest
 from sensormill.plans.release import ReleaseRefused, Releases
@@ -143,3 +143,62 @@ def test_catalog_store_with_a_builtin_provider(spark, tmp_path):
         assert store.ledger().count() == 0
     finally:
         spark.sql("DROP NAMESPACE probe_ns CASCADE")
+
+
+def test_a_tree_names_the_rows_and_looks_only_where_it_differs(spark):
+    rows = [(i, i % 7, f"v{i}") for i in range(3000)] + [(5, 5, "v5"), (None, 1, "no key")]
+    ddl = "k bigint, g int, v string"
+    then = spark.createDataFrame(rows, ddl)
+    now = [r for r in rows if r[0] not in (10, 5)] + [(5, 5, "v5"), (20, 20 % 7, "v20"), (4000, 0, "new")]
+    now = [(k, g, "other" if k == 30 else v) for k, g, v in now]
+    depth = tree.depth_for(len(rows), rows_per_leaf=8)
+    assert depth == 3
+
+    def made(content):
+        marked = tree.marks(spark.createDataFrame(content, ddl).repartition(4), ["k"], depth)
+        return marked, tree.nodes(marked, depth)
+
+    (one, first), (same, again), (two, second) = made(rows), made(rows[::-1]), made(now)
+    leaves, looked = tree.unequal_leaves(first, again, depth)
+    assert leaves.count() == 0 and looked == [(1, 0)]  # equal: the root is enough
+    leaves, looked = tree.unequal_leaves(first, second, depth)
+    found = {(r.key, r.problem, r.n_pinned, r.n_now) for r in tree.differing_keys(one, two, leaves).collect()}
+    assert found == {
+        ('{"k":10}', "lost", 1, 0), ('{"k":5}', "changed", 2, 1), ('{"k":20}', "doubled", 1, 2), ('{"k":30}', "changed", 1, 1), ('{"k":4000}', "added", 0, 1)
+    }
+    assert looked[0] == (1, 1) and looked[3][1] == leaves.count() <= 5
+    assert sum(n for n, _ in looked) <= 1 + 16 + 2 * 5 * 16 < first.count() / 3
+    # No rows at all, on either side.
+    none, empty = made([])
+    for left, right in ((first, empty), (empty, first)):
+        assert tree.unequal_leaves(left, right, depth)[0].count() > 300
+    assert tree.unequal_leaves(empty, empty, depth)[0].count() == 0
+
+
+def test_a_refusal_names_rows(spark, tmp_path):
+    make_log(tmp_path, "L1", cameras=("ring_front_center",), frames=2)
+    store = ParquetStore(spark, str(tmp_path / "store"))
+    logs = folders_of(spark, tmp_path, "L1")
+    ingest(store, logs, "v1")
+    Releases(store, str(tmp_path / "releases")).create("r1", logs, "strict-1", "v1")
+    broken = ParquetStore(spark, str(tmp_path / "store"))
+    stamps = sorted(r.timestamp_ns for r in store.read("pose").collect())
+
+    def read(table, as_of=None):
+        rows = ParquetStore.read(broken, table)
+        if table != "pose":
+            return rows
+        changed = F.when(F.col("timestamp_ns") == stamps[1], F.col("tx_m") + 1).otherwise(F.col("tx_m"))
+        kept = rows.where(F.col("timestamp_ns") != stamps[0]).withColumn("tx_m", changed)
+        return kept.unionByName(rows.where(F.col("timestamp_ns") == stamps[2]))
+
+    broken.read = read
+    pins = Releases(broken, str(tmp_path / "releases"))
+    found, _ = pins.changed_rows("r1", "pose")
+    name = '{{"log_id":"L1","timestamp_ns":{}}}'.format
+    expected = {(name(stamps[0]), "lost"), (name(stamps[1]), "changed"), (name(stamps[2]), "doubled")}
+    assert {(r.key, r.problem) for r in found.collect()} == expected
+    with pytest.raises(ReleaseRefused, match="4 objects differ") as refusal:
+        pins.load("r1", check_blobs=False)
+    assert "table pose: rows_differ; row pose " in str(refusal.value)
+    assert pins.changed_rows("r1", "track")[0].count() == 0
