@@ -1,6 +1,6 @@
 """Every operator as a named query over the given tables, with equivalent SQL where SQL can express it."""
 
-from sensormill.queries import checks, encodings, ingested, ledgers, marts, multisets, payloads, releases, retrieval, scenes, streams, timelines
+from sensormill.queries import checks, encodings, ingested, ledgers, marts, multisets, payloads, releases, retrieval, scene_files, scenes, streams, timelines
 from sensormill.queries.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "payloads",
     "releases",
     "retrieval",
+    "scene_files",
     "scenes",
     "streams",
     "timelines",

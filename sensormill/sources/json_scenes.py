@@ -1,6 +1,6 @@
 """A second dataset layout: scenes as relational JSON files, mapped onto the same canonical tables.
 
-Each file is one JSON array, which cannot be split; its rows are spread right after reading.
+Each file is one JSON array (or a folder of such), read in byte ranges by many tasks.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormill.schemas import LIDAR, conform, table_schema
+from sensormill.sources.json_arrays import SPLIT, read_array
 
 # Names and fields of the files of this layout that are read.
 FILES = {
@@ -28,11 +29,17 @@ FILES = {
 # End of fixed values. Stamps are microseconds; rotations are w, x, y, z; sizes are width, length, height.
 
 
-def read_scenes(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {
-        name: spark.read.schema(ddl).option("multiLine", "true").json(f"{root}/{name}.json")
-        for name, ddl in FILES.items()
-    }
+def read_scenes(spark: SparkSession, root: str, split: int = SPLIT) -> dict[str, DataFrame]:
+    """The rows of every file. A file with an element that does not fit its fields is refused."""
+    return {name: _whole(read_array(spark, f"{root}/{name}.json", ddl, split)) for name, ddl in FILES.items()}
+
+
+def _whole(parsed: tuple[DataFrame, DataFrame]) -> DataFrame:
+    rows, dead = parsed
+    bad = dead.select("path", F.substring("raw", 1, 200).alias("raw")).first()
+    if bad is not None:
+        raise ValueError(f"{bad.path} holds an element that does not fit: {bad.raw}")
+    return rows.drop("path")
 
 
 def _pose(rotation: Column, translation: Column) -> list[Column]:

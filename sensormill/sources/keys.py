@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Where sensors lie inside a log folder, and which file names carry a stamp (digits, any one suffix).
@@ -80,3 +80,19 @@ def source_keys(folders: DataFrame) -> DataFrame:
 def sensor_counts(keys: DataFrame) -> DataFrame:
     """Frames per log and sensor: the denominator of completeness."""
     return keys.groupBy("log_id", "sensor").agg(F.count(F.lit(1)).alias("n_frames"))
+
+
+def scene_keys(spark: SparkSession, root: str) -> DataFrame:
+    """One row per frame of the second layout, straight from its files and without the transform or its reader."""
+
+    def rows(name: str, ddl: str) -> DataFrame:
+        return spark.read.schema(ddl).option("multiLine", "true").json(f"{root}/{name}.json")
+
+    samples = rows("sample", "token STRING, scene_token STRING").select(F.col("token").alias("sample_token"), "scene_token")
+    scenes = rows("scene", "token STRING, name STRING").select(F.col("token").alias("scene_token"), F.col("name").alias("log_id"))
+    mounted = rows("calibrated_sensor", "token STRING, sensor_token STRING").select(F.col("token").alias("calibrated_sensor_token"), "sensor_token")
+    sensors = rows("sensor", "token STRING, channel STRING, modality STRING").select(F.col("token").alias("sensor_token"), "channel", "modality")
+    data = rows("sample_data", "sample_token STRING, calibrated_sensor_token STRING, timestamp BIGINT")
+    joined = data.join(samples, "sample_token").join(scenes, "scene_token").join(mounted, "calibrated_sensor_token").join(sensors, "sensor_token")
+    sensor = F.when(F.col("modality") == "lidar", "lidar").otherwise(F.lower("channel"))
+    return joined.select("log_id", sensor.alias("sensor"), (F.col("timestamp") * 1000).alias("timestamp_ns"))
