@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 
 from sensormill.llm.components import components
 from sensormill.llm.tables import KEY
-from sensormill.llm.tiles import brought_together, dealt, meetings
+from sensormill.llm.tiles import brought_together, dealt, gathered, meetings
 from sensormill.workspace import materialise
 
 THRESHOLD = 0.95
 #: Bytes of vectors that a tile holds at most (about), at 8 bytes a component.
-TILE_BYTES = 1 << 20
+TILE_BYTES = 1 << 22
 #: Axes that make the grid, and axes of the boxes.
 GRID, BOX = 3, 8
 #: Axes of the first product; each further step doubles what is known.
@@ -244,10 +244,8 @@ def near_copies(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     placed = materialise(_placed(distinct, axes, reach), "placed-vectors")
     room = F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES // 8) / F.col("width")))
     boxes = [f(F.get("lead", F.lit(i))).alias(f"{name}_{i}") for i in range(BOX) for name, f in (("low", F.min), ("high", F.max))]
-    tiles = dealt(placed, CELL, KEY, room).groupBy(*CELL, "tile").agg(
-        F.collect_list(F.struct(KEY, "copies", "embedding")).alias("members"), *boxes, F.min("rest").alias(f"low_{BOX}"), F.max("rest").alias(f"high_{BOX}")
-    )
-    tiles = materialise(tiles, "vector-tiles")
+    boxes += [F.min("rest").alias(f"low_{BOX}"), F.max("rest").alias(f"high_{BOX}")]
+    tiles = materialise(gathered(dealt(placed, CELL, KEY, room), CELL, F.struct(KEY, "copies", "embedding"), *boxes), "vector-tiles")
     sides = [f"{name}_{i}" for i in range(BOX + 1) for name in ("low", "high")]
     gaps = F.lit(0.0)
     for i in range(BOX + 1):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensormill.llm.tiles import brought_together, dealt, meetings
+from sensormill.llm.tiles import brought_together, dealt, gathered, meetings
 from sensormill.workspace import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -214,8 +214,7 @@ def near_words(words: DataFrame) -> DataFrame:
         (F.length("word") - F.length(F.translate("word", _SECOND, ""))).cast("long").alias("second"),
     )
     room = F.greatest(F.lit(1), F.least(F.lit(TILE), F.floor(F.lit(TILE_LETTERS) / F.col("size"))))
-    tiles = dealt(blocks, BLOCK, "word", room).groupBy(*BLOCK, "tile").agg(F.collect_list(F.struct("word", "n")).alias("members"))
-    tiles = materialise(tiles, "word-tiles")
+    tiles = materialise(gathered(dealt(blocks, BLOCK, "word", room), BLOCK, F.struct("word", "n")), "word-tiles")
     pairs = brought_together(meetings(tiles, BLOCK, EDITS), tiles, "word-tile-pairs")
     found = pairs.mapInArrow(_compare, _FOUND).groupBy("word").agg(
         F.sum("near").alias("n_near"), F.min(F.struct((-F.col("best_n")).alias("less"), F.col("best").alias("best"))).alias("top")

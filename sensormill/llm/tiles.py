@@ -27,6 +27,15 @@ def dealt(rows: DataFrame, cell: list[str], key: str, room: Column) -> DataFrame
     return rows.join(counts, cell).withColumn("tile", F.concat_ws(":", *cell, part)).drop("_parts")
 
 
+def gathered(rows: DataFrame, cell: list[str], content: Column, *extra: Column) -> DataFrame:
+    """(tile, cell, members, extra aggregates), one row per tile.
+
+    Grouped by the tile alone: with the cell in the key Spark would leave all tiles of a large cell in one task.
+    """
+    first = (F.first(c).alias(c) for c in cell)
+    return rows.groupBy("tile").agg(*first, F.collect_list(content).alias("members"), *extra)
+
+
 def meetings(tiles: DataFrame, cell: list[str], offsets: Iterable[Offset], others: list[str] | None = None) -> DataFrame:
     """(tile_a, tile_b, and the columns ``others`` of both sides) for all tiles whose cells differ by one of ``offsets``.
 
