@@ -376,9 +376,10 @@ def phrases(docs: DataFrame, longest: int = 5, least: int = 100, chunk: int = CH
     known = ranked.select("lang", F.array("id").alias("key"), "a", F.col("word").alias("phrase"), F.col("word").alias("last"), none.alias("heads"), none.alias("tails"))
     places = chunks.select("chunk", "lang", F.posexplode("word").alias("place", "word"))
     entry = F.when(F.col("id").isNotNull(), F.struct(F.col("place").cast("bigint").alias("place"), "id"))
-    named = places.join(ranked.select("lang", "word", "id"), ["lang", "word"], "left")
+    # Merge joins at every size: whether the other side is small enough to broadcast must not change what is shuffled.
+    named = places.join(ranked.select("lang", "word", "id").hint("merge"), ["lang", "word"], "left")
     dictionaries = named.groupBy("chunk").agg(F.collect_list(entry).alias("known"))
-    chunks = materialise(chunks.select("chunk", "text").join(dictionaries, "chunk").mapInArrow(_first_pairs, _COUNTED), "pairs")
+    chunks = materialise(chunks.select("chunk", "text").join(dictionaries.hint("merge"), "chunk").mapInArrow(_first_pairs, _COUNTED), "pairs")
     levels = []
     for size in range(2, longest + 1):
         names = _names(size)
