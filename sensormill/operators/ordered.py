@@ -140,14 +140,20 @@ def with_running_sum(
     name: str = "running",
 ) -> DataFrame:
     """Add the sum of ``value`` over the rows of the group up to and including each; ``order`` is unique within it."""
+    return with_running_sums(df, keys, order, {name: value}, width)
+
+
+def with_running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, str], width: float | None = None) -> DataFrame:
+    """The same for several columns at once: ``sums`` maps each new column to the one it sums."""
     cut = binned(df, keys, [*order], width)
-    sizes = cut.groupBy(*keys, BIN).agg(F.sum(value).alias("_size"))
-    borrowed = scan_bins(sizes, keys, {"_v": ("_size", "sum", "before")})
-    rows = cut.withColumns({"_v": F.col(value), "_own": F.lit(True)}).unionByName(
+    sizes = cut.groupBy(*keys, BIN).agg(*(F.sum(value).alias(f"_size_{name}") for name, value in sums.items()))
+    borrowed = scan_bins(sizes, keys, {f"_v_{name}": (f"_size_{name}", "sum", "before") for name in sums})
+    rows = cut.withColumns({**{f"_v_{name}": F.col(value) for name, value in sums.items()}, "_own": F.lit(True)}).unionByName(
         borrowed.withColumn("_own", F.lit(False)), allowMissingColumns=True
     )
     so_far = Window.partitionBy(*keys, BIN).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(name, F.sum("_v").over(so_far)).where("_own").drop(BIN, "_v", "_own")
+    summed = rows.withColumns({name: F.sum(f"_v_{name}").over(so_far) for name in sums})
+    return summed.where("_own").drop(BIN, "_own", *(f"_v_{name}" for name in sums))
 
 
 def with_neighbours(

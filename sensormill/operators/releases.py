@@ -87,6 +87,48 @@ def consistent_calibration(rows: DataFrame, sample: Sequence[str], calibration:
     )
 
 
+def usable_samples(
+    rows: DataFrame,
+    sample: Sequence[str],
+    required: Sequence[str],
+    always: Sequence[str],
+    calibrations: DataFrame,
+    blobs: DataFrame,
+    allow_missing: int = 0,
+) -> DataFrame:
+    """Samples that meet all four conditions of a slice, and why the others do not.
+
+    * sensors: every sensor of ``required`` is there, but for ``allow_missing`` of them;
+    * policy of missing frames: those of ``always`` are never missing;
+    * calibration: a sensor counts only if all its rows carry the version that ``calibrations`` (sensor, calibration_id)
+      names; a sensor it does not list needs none;
+    * blobs: a sensor counts only if the payloads of all its rows are in ``blobs`` (source_path).
+
+    Rows have the sample, sensor, calibration_id and source_path. Each condition is a set of sensors kept as bits, so a
+    sample is one row of three numbers after one aggregation. At most 63 required sensors.
+    """
+    if len(required) > 63 or not set(always) <= set(required):
+        raise ValueError("at most 63 required sensors, and those that are always needed among them")
+    bit = F.coalesce(*(F.when(F.col("sensor") == s, F.lit(1 << i)) for i, s in enumerate(required))).cast("bigint")
+    wanted = calibrations.select("sensor", F.col("calibration_id").alias("_wanted"), F.lit(True).alias("_listed"))
+    there = blobs.select("source_path", F.lit(True).alias("_there")).distinct()
+    marked = rows.withColumn("_bit", bit).where(F.col("_bit").isNotNull())
+    marked = join_null_safe(marked, wanted, ["sensor"], "left").join(there, "source_path", "left")
+    wrong = F.col("_listed").isNotNull() & ~F.col("calibration_id").eqNullSafe(F.col("_wanted"))
+    nothing = F.lit(0).cast("bigint")
+    sets = marked.groupBy(*sample).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bit_or("_bit").alias("present"),
+        F.bit_or(F.when(wrong, F.col("_bit")).otherwise(nothing)).alias("miscalibrated"),
+        F.bit_or(F.when(F.col("_there").isNull(), F.col("_bit")).otherwise(nothing)).alias("without_blob"),
+    )
+    unusable = F.col("miscalibrated").bitwiseOR(F.col("without_blob"))
+    usable = F.col("present").bitwiseAND(F.bitwise_not(unusable))
+    needed = F.lit(sum(1 << required.index(s) for s in always)).cast("bigint")
+    n_usable = F.bit_count(usable)
+    complete = (n_usable >= len(required) - allow_missing) & (usable.bitwiseAND(needed) == needed)
+    return sets.select(*sample, "n_rows", "present", "miscalibrated", "without_blob", n_usable.cast("int").alias("n_usable"), complete.alias("usable"))
+
+
 def backfill_work(units: DataFrame, slice_: Column, done: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Units of the slice that are not done yet."""
     return units.where(slice_).select(*ids).distinct().join(done.select(*ids), list(ids), "left_anti")

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensormill.operators.ordered import bin_of, distribution, quantiles, with_position, with_previous
+from sensormill.operators.ordered import bin_of, distribution, quantiles, with_position, with_previous, with_running_sums
+from sensormill.workspace import materialise
 
 SWEEP = ("log_id", "sweep_ns")
 ROWS_PER_BLOCK = 4096
@@ -65,6 +66,44 @@ def returns_against_history(
     )
 
 
+def returns_spread(
+    returns: DataFrame,
+    history: int = 10,
+    keys: Sequence[str] = ("log_id", "laser_number"),
+    sweep: str = "sweep_ns",
+    limit: float = 3.0,
+) -> DataFrame:
+    """Each laser's count against mean and deviation of its ``history`` preceding sweeps, however many these are.
+
+    Running sums of counts and of their squares, less the same sums ``history`` sweeps earlier: one join by position,
+    and no window holds the history. ``deviating`` says that the count lies more than ``limit`` deviations off its mean;
+    where all of the history is equal, that it differs at all. Sums are exact, so no order of rows shows in them.
+    """
+    if history < 1:
+        raise ValueError("history must be at least one sweep")
+    n = F.col("n_returns").cast("decimal(18,0)")
+    counted = returns.withColumns({"_one": F.lit(1).cast("bigint"), "_n": n, "_nn": n * n})
+    running = materialise(with_running_sums(counted, keys, [sweep], {"_at": "_one", "_s": "_n", "_q": "_nn"}).drop("_one"), "running-returns")
+    earlier = running.select(
+        *(F.col(k).alias(f"_e_{k}") for k in keys), (F.col("_at") + history + 1).alias("_e_at"), F.col("_s").alias("_es"), F.col("_q").alias("_eq")
+    )
+    same = F.col("_at") == F.col("_e_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_e_{k}"))
+    none = F.lit(0).cast("decimal(38,0)")
+    joined = running.join(earlier, same, "left").withColumns({
+        "history_n": F.least(F.col("_at") - 1, F.lit(history)),
+        "history_sum": (F.col("_s") - F.col("_n") - F.coalesce("_es", none)).cast("bigint"),
+        "_squares": F.col("_q") - F.col("_nn") - F.coalesce("_eq", none),
+    })
+    count, total = F.nullif(F.col("history_n").cast("double"), F.lit(0.0)), F.col("history_sum").cast("double")
+    # n * sum of squares - square of the sum is a whole number, so equal counts have a deviation of exactly 0.
+    whole = (F.col("_squares") * F.col("history_n").cast("decimal(10,0)")).cast("double") - total * total
+    scored = joined.withColumns({"history_mean": total / count, "history_std": F.sqrt(F.greatest(F.lit(0.0), whole)) / count})
+    off = F.abs(F.col("n_returns") - F.col("history_mean")) > F.lit(limit) * F.col("history_std")
+    return scored.select(*keys, sweep, "n_returns", "history_n", "history_mean", "history_std", F.coalesce(off, F.lit(False)).alias("deviating"))
+
+
 def point_range(x: Column, y: Column, z: Column) -> Column:
     return F.sqrt(x * x + y * y + z * z)
 

@@ -84,6 +84,16 @@ class ParquetStore:
     def append_quarantine(self, rows: DataFrame, append_id: int) -> int:
         return self._write("quarantine", conform(rows, _ddl(QUARANTINE_DDL)), append_id)
 
+    def quarantine_appends(self) -> DataFrame:
+        """The quarantine with the ``append_id`` each row came with."""
+        return self._read("quarantine", _ddl(QUARANTINE_DDL))
+
+    def replace_quarantine(self, rows: DataFrame, append_id: int) -> None:
+        """Put ``rows`` in place of whatever the quarantine holds of this append: it may be written again."""
+        tagged = conform(rows, _ddl(QUARANTINE_DDL)).withColumn("append_id", F.lit(append_id).cast("bigint"))
+        writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("append_id").parquet(self._path("quarantine"))
+
     def snapshot_ids(self, tables: Iterable[str] | None = None) -> dict[str, int | None]:
         """Latest append per table, None where nothing has been appended. Reads partition values and file footers."""
         return {

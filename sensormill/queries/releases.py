@@ -180,6 +180,35 @@ def consistent_slice(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_required", F.col("n_required").cast("bigint"))
 
 
+_SLICE_SENSORS = ("click", "view", "error", "purchase")
+
+
+@query(
+    f"""WITH {EVENT_FRAMES_SQL}, bits(sensor, bit) AS (VALUES ('click', 1), ('view', 2), ('error', 4), ('purchase', 8)),
+wanted AS (SELECT event_type AS sensor, 'v' || (CAST(json_extract_string(min(props), '$.k') AS BIGINT) % 2 + 1) AS v FROM events WHERE event_type <> 'error' GROUP BY event_type),
+r AS (SELECT log_id, timestamp_ns // {7 * DAY_NS} AS week, bit, w.v IS NOT NULL AND w.v <> CASE WHEN k < 20 THEN 'v1' ELSE w.v END AS wrong,
+  o.o_orderkey IS NULL AS gone FROM frames f JOIN bits USING (sensor) LEFT JOIN wanted w USING (sensor)
+  LEFT JOIN (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderstatus <> 'P' OR o_totalprice > 60000) o ON o.o_orderkey = f.event_id),
+s AS (SELECT log_id, week, count(*) AS n_rows, bit_or(bit)::BIGINT AS present, bit_or(CASE WHEN wrong THEN bit ELSE 0 END)::BIGINT AS miscalibrated,
+  bit_or(CASE WHEN gone THEN bit ELSE 0 END)::BIGINT AS without_blob FROM r GROUP BY ALL)
+SELECT *, CAST(bit_count(present & ~(miscalibrated | without_blob)) AS INTEGER) AS n_usable,
+  bit_count(present & ~(miscalibrated | without_blob)) >= 2 AND (present & ~(miscalibrated | without_blob) & 1) = 1 AS usable FROM s"""
+)
+def usable_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Weeks of a log by all four conditions at once: of four sensors two may be missing, but never the clicks; each has a
+    version of its calibration, errors need none; and an order of the event's id is its payload."""
+    frames = event_frames(spark, folder).withColumn("week", F.floor(F.col("timestamp_ns") / (7 * DAY_NS)))
+    first = F.get_json_object(F.min("props"), "$.k").cast("bigint")
+    wanted = table(spark, folder, "events").where("event_type <> 'error'").groupBy(F.col("event_type").alias("sensor")).agg(
+        F.concat(F.lit("v"), first % 2 + 1).alias("calibration_id")
+    )
+    carried = frames.join(wanted.withColumnRenamed("calibration_id", "_v"), "sensor", "left")
+    version = F.when(F.col("k") < 20, "v1").otherwise(F.col("_v"))
+    rows = carried.select("log_id", "week", "sensor", version.alias("calibration_id"), F.concat(F.lit("e/"), "event_id").alias("source_path"))
+    blobs_ = table(spark, folder, "orders").where("o_orderstatus <> 'P' OR o_totalprice > 60000").select(F.concat(F.lit("e/"), "o_orderkey").alias("source_path"))
+    return releases.usable_samples(rows, ["log_id", "week"], _SLICE_SENSORS, ["click"], wanted, blobs_, allow_missing=2)
+
+
 @query(
     """SELECT l_orderkey FROM (SELECT l_orderkey, l_linenumber, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY ALL)
 GROUP BY l_orderkey HAVING max(n) = 1"""

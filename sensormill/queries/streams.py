@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,9 +12,11 @@ from pyspark.sql import types as T
 from sensormill.functions.timing import epoch_ns
 from sensormill.operators.joins import last_per_key
 from sensormill.operators.releases import newest_states
+from sensormill.plans.store import ParquetStore
 from sensormill.queries.registry import EVENT_FRAMES_SQL, event_frames, query, table
 from sensormill.queries.timelines import DAY_NS
 from sensormill.streaming import replay, sinks, states
+from sensormill.streaming.envelopes import EnvelopeSink
 from sensormill.workspace import fresh_path
 
 COLUMNS = ["event_id", "user_id", "event_type", "timestamp_ns", "value", "props"]
@@ -163,3 +166,47 @@ def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     good, dead = replay.parse_envelopes(envelopes, "envelope", "k BIGINT")
     both = good.select("topic", F.lit(True).alias("good")).unionByName(dead.select("topic", F.lit(False).alias("good")))
     return both.groupBy("topic", "good").agg(F.count(F.lit(1)).alias("n_envelopes"))
+
+
+_ENVELOPES = """e AS (SELECT event_id, event_type AS topic, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, props FROM events),
+v AS (SELECT *, CASE WHEN k >= 90 THEN substr(props, 1, length(props) - 1) WHEN k < 5 THEN '{"k": "' || k || ' pieces"}' ELSE props END AS value FROM e)"""
+
+
+@query(
+    f"""WITH {_ENVELOPES} SELECT event_id, topic, CASE WHEN k >= 90 OR k < 5 THEN 'quarantine' ELSE 'rows' END AS held,
+  CASE WHEN k >= 90 OR k < 5 THEN value ELSE CAST(k AS VARCHAR) END AS content FROM v"""
+)
+def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Envelopes in two waves, some truncated and some mistyped. The first batch dies before it is done and runs again."""
+    out = fresh_path(spark, "envelopes")
+    store = ParquetStore(spark, f"{out}/store", {})
+    store.ensure_tables()
+    events = table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    cut = F.expr("substring(props, 1, length(props) - 1)")
+    mistyped = F.concat(F.lit('{"k": "'), "k", F.lit(' pieces"}'))
+    value = F.when(F.col("k") >= 90, cut).when(F.col("k") < 5, mistyped).otherwise(F.col("props"))
+    arriving = events.select("event_id", F.col("event_type").alias("topic"), value.alias("value"))
+    sink, tries = EnvelopeSink(store, out, "events", "k BIGINT"), []
+
+    class Consumer(EnvelopeSink):
+        def mark(self, marker: DataFrame, batch_id: int) -> None:
+            tries.append(batch_id)
+            if len(tries) == 1:
+                raise RuntimeError("the consumer dies here")
+            super().mark(marker, batch_id)
+
+    consumer = Consumer(store, out, "events", "k BIGINT")
+    for wave in ("click", "view"):
+        arriving.where((F.col("topic") == "click") == (wave == "click")).write.mode("append").parquet(f"{out}/in")
+        stream = replay.replay(spark, f"{out}/in", arriving.schema)
+        for _ in range(2):
+            try:
+                sinks.run_available(stream, lambda rows, batch: consumer(rows, batch), f"{out}/checkpoint")
+                break
+            except StreamingQueryException:
+                if len(tries) != 1:
+                    raise
+    schema = T.StructType.fromDDL("event_id BIGINT, topic STRING, k BIGINT")
+    good = sink.rows(schema).select("event_id", "topic", F.lit("rows").alias("held"), F.col("k").cast("string").alias("content"))
+    dead = sink.dead().select(F.col("object").cast("bigint").alias("event_id"), F.col("log_id").alias("topic"), F.lit("quarantine").alias("held"), F.col("detail").alias("content"))
+    return good.unionByName(dead)

@@ -18,6 +18,7 @@ from sensormill.operators.sweeps import (
     pose_continuity,
     pose_steps,
     returns_against_history,
+    returns_spread,
     sweep_stats,
     sweep_timing,
 )
@@ -207,6 +208,22 @@ def returns_per_laser(spark: SparkSession, folder: str) -> DataFrame:
     return returns_against_history(returns, 5, keys, "day").drop("history_mean")
 
 
+@query(
+    f"""WITH {EVENT_FRAMES_SQL}, r AS (
+  SELECT log_id, sensor, timestamp_ns // {DAY_NS} AS day, count(*) AS n_returns FROM frames GROUP BY ALL),
+h AS (SELECT *, count(n_returns) OVER w AS history_n, CAST(sum(n_returns) OVER w AS DOUBLE) AS s, CAST(sum(n_returns * n_returns) OVER w AS DOUBLE) AS q FROM r
+  WINDOW w AS (PARTITION BY log_id, sensor ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+d AS (SELECT *, s / nullif(history_n, 0) AS history_mean, sqrt(greatest(0.0, q * history_n - s * s)) / nullif(history_n, 0) AS history_std FROM h)
+SELECT log_id, sensor, day, n_returns, history_n, round(history_mean, 6) AS history_mean, round(history_std, 6) AS history_std,
+  coalesce(abs(n_returns - history_mean) > 2.0 * history_std, FALSE) AS deviating FROM d"""
+)
+def returns_spread_per_laser(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per sensor and day against mean and deviation of the seven preceding days with data."""
+    frames = event_frames(spark, folder).withColumn("day", F.floor(F.col("timestamp_ns") / DAY_NS))
+    found = returns_spread(laser_returns(frames, ["log_id", "sensor"], "day"), 7, ["log_id", "sensor"], "day", limit=2.0)
+    return found.withColumns({c: F.round(c, 6) for c in ("history_mean", "history_std")})
+
+
 @query(
     """WITH s AS (SELECT *, length(text) AS off,
   lag(length(text)) OVER (PARTITION BY conv_id, role ORDER BY turn) AS prev FROM conversations)
