@@ -26,6 +26,10 @@ def commit_rows(store, table: str, wanted: DataFrame) -> DataFrame:
     # The ledger knows which append brought a commit's rows: only those folders are opened.
     brought = ledgers.commits(store.ledger()).select("log_id", "commit_id", F.col("committed_seq").alias("append_id"))
     keep = wanted.select("log_id", "commit_id").join(brought, ["log_id", "commit_id"]).withColumnRenamed("commit_id", "ingest_commit_id")
+    moves = store.moves(table)
+    if moves is not None:
+        placed = keep.join(moves, F.col("append_id") == F.col("from_append"), "left")
+        keep = placed.select("log_id", "ingest_commit_id", F.coalesce("to_append", "append_id").alias("append_id"))
     appends = [r[0] for r in keep.select("append_id").distinct().collect()]  # at most one per batch of ingest
     rows = store.read_appends(table).where(F.col("append_id").isin(appends))
     return rows.join(keep, ["append_id", "log_id", "ingest_commit_id"], "left_semi").select(*store.schemas[table].fieldNames())

@@ -14,6 +14,8 @@ from sensormill.workspace import read_if_there
 
 #: What could not be taken in, and why: a file, a log or a message.
 QUARANTINE_DDL = "log_id STRING, object STRING, reason STRING, detail STRING, commit_id STRING"
+#: Appends whose rows were written again elsewhere: their own files no longer count.
+MOVES_DDL = "table_name STRING, from_append BIGINT, to_append BIGINT, seq BIGINT"
 TAG_DDL = "tag STRING, table_name STRING, snapshot_id BIGINT, tagged_at TIMESTAMP"
 
 
@@ -25,7 +27,8 @@ class ParquetStore:
     """Tables as Parquet folders partitioned by ``append_id``.
 
     An append is one write under a new ``append_id``, so the state after any append is a partition filter. The
-    ledger decides which rows readers see; nothing is ever overwritten.
+    ledger decides which rows readers see; nothing is ever overwritten. Rewritten appends (see ``plans/health``) have ids
+    below zero and count only once a row of ``moves`` puts them in place of others.
     """
 
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None):
@@ -65,14 +68,32 @@ class ParquetStore:
 
     def read(self, table: str, as_of: int | None = None) -> DataFrame:
         """All rows, or the rows the table had at snapshot ``as_of``; committed or not."""
-        rows = self._read(table, self.schemas[table])
-        return (rows if as_of is None else rows.where(F.col("append_id") <= as_of)).select(
-            *self.schemas[table].fieldNames()
-        )
+        return self.read_appends(table, as_of).select(*self.schemas[table].fieldNames())
 
-    def read_appends(self, table: str) -> DataFrame:
-        """All rows with the ``append_id`` they came with, by which the folders are cut."""
-        return self._read(table, self.schemas[table])
+    def read_appends(self, table: str, as_of: int | None = None) -> DataFrame:
+        """All rows with the ``append_id`` they lie under, by which the folders are cut."""
+        rows = self._read(table, self.schemas[table])
+        own = rows.where(F.col("append_id") >= 0)
+        if as_of is not None:
+            own = own.where(F.col("append_id") <= as_of)
+        moves = self.moves(table, as_of)
+        if moves is None:
+            return own
+        left = own.join(moves.select(F.col("from_append").alias("append_id")), "append_id", "left_anti")
+        again = rows.where(F.col("append_id") < 0).join(moves.select(F.col("to_append").alias("append_id")).distinct(), "append_id", "left_semi")
+        return left.unionByName(again)
+
+    def moves(self, table: str, as_of: int | None = None) -> DataFrame | None:
+        """(from_append, to_append) of what was rewritten, as of a snapshot; None if nothing ever was."""
+        found = read_if_there(self.spark, _with_append_id(_ddl(MOVES_DDL)), self._path("moves"))
+        if found is None:
+            return None
+        mine = found.where(F.col("table_name") == table)
+        return (mine if as_of is None else mine.where(F.col("seq") <= as_of)).select("from_append", "to_append")
+
+    def append_moves(self, rows: DataFrame, seq: int) -> int:
+        """One file, one rename: all appends of a rewrite change places together."""
+        return self._write("moves", conform(rows, _ddl(MOVES_DDL)).coalesce(1), seq)
 
     def snapshot_of(self, table: str, append_id: int) -> int:
         """The snapshot that the append ``append_id`` made."""
