@@ -12,6 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensormill.operators import ledger as ledgers
 from sensormill.plans.ingest import ingest
@@ -20,7 +21,7 @@ from sensormill.plans.release import Releases
 from sensormill.plans.store import ParquetStore
 from sensormill.queries.registry import query, table
 from sensormill.schemas import BOX_COLUMNS, INTRINSIC_COLUMNS, POSE_COLUMNS
-from sensormill.sources.feather import FeatherSource
+from sensormill.sources.feather import scan
 from sensormill.sources.files import log_folders
 from sensormill.sources.paths import locate
 from sensormill.workspace import fresh_path
@@ -235,8 +236,7 @@ def store_as_of(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT CAST(n_chars AS DOUBLE) AS qw, doc_id AS timestamp_ns FROM documents")
 def feather_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The pose files of the tree through the Feather data source."""
+    """The pose files of the tree; folders are listed and files read by tasks."""
     root = _tree(spark, folder, payloads=False).select(F.regexp_replace("root", "/[^/]+$", "").alias("root")).first().root
-    spark.dataSource.register(FeatherSource)
-    rows = spark.read.format(FeatherSource.name()).schema("timestamp_ns BIGINT, qw DOUBLE, unused STRING").load(root)
+    rows = scan(spark, root, T.StructType.fromDDL("timestamp_ns BIGINT, qw DOUBLE, unused STRING"))
     return rows.where("unused = 'x'").select("qw", "timestamp_ns")

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -68,6 +69,15 @@ def read_tables(paths: DataFrame, schema: T.StructType, keys: Sequence[str] = ("
     return spread(paths.select(*keys, "path"), "path").mapInArrow(load, out)
 
 
+def scan(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Rows of every Feather file below ``root``, with ``row_index``. Folders are listed by tasks, level by level, so no
+    list of files passes through the driver; the data source below lists in one process, which suits single tables."""
+    from sensormill.sources.files import list_files
+
+    folder = spark.range(1).select(F.lit("").alias("log_id"), F.lit(root).alias("root"))
+    return read_tables(list_files(folder).where(F.col("path").endswith(".feather")), schema, keys=())
+
+
 class _Files(InputPartition):
     def __init__(self, paths: list[str]):
         self.paths = paths

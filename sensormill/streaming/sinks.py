@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,23 +16,38 @@ BATCH = "stream_batch_id"
 Sink = Callable[[DataFrame, int], None]
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    (
-        rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+#: Folder of the day a row's event lies on, where a table is cut by days as well.
+DAY, DAY_NS = "event_day", 86_400_000_000_000
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, time_ns: str | None = None) -> None:
+    """Write a batch in place of an earlier try. With ``time_ns`` its rows are also laid out by the day of that time."""
+    tagged, parts = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")), [BATCH]
+    if time_ns is not None:
+        tagged, parts = tagged.withColumn(DAY, _day(F.col(time_ns))), [DAY, BATCH]
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+
 
+def _day(time_ns: Column) -> Column:
+    return F.floor(time_ns / F.lit(DAY_NS)).cast("bigint")
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """Rows written so far, with their batch id; none if nothing has been written. ``before`` excludes later batches."""
-    full = T.StructType([*(f for f in schema.fields if f.name != BATCH), T.StructField(BATCH, T.LongType())])
-    rows = read_if_there(spark, full, path)
+
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None, since_ns: int | None = None
+) -> DataFrame:
+    """Rows written so far, with their batch id; none if nothing has been written. ``before`` excludes later batches.
+
+    ``since_ns`` opens only folders of that day and later ones, in a table that is laid out by days; rows without a time
+    are in none of them.
+    """
+    full = T.StructType([*(f for f in schema.fields if f.name not in (BATCH, DAY)), T.StructField(BATCH, T.LongType())])
+    days = T.StructType([*full.fields, T.StructField(DAY, T.LongType())])
+    rows = read_if_there(spark, full if since_ns is None else days, path)
     if rows is None:
         return spark.createDataFrame([], full)
-    return rows if before is None else rows.where(F.col(BATCH) < before)
+    if since_ns is not None:
+        rows = rows.where(F.col(DAY) >= since_ns // DAY_NS)
+    return (rows if before is None else rows.where(F.col(BATCH) < before)).select(*full.fieldNames())
 
 
 def append_batches(path: str) -> Sink:
@@ -73,7 +88,8 @@ def split_late(
 
     Spark drops late rows of stateful operators without a trace. Here lateness is decided first, against the greatest
     event time of earlier batches, and late rows go to quarantine. A repetition carries the event time of its original,
-    so an on-time row can only repeat rows behind the same limit: the look-back is bounded by the delay.
+    so an on-time row can only repeat rows behind the same limit: the look-back is bounded by the delay. The table is laid
+    out by days of event time, so the look-back opens the folders of those days and no others.
     """
     marks = T.StructType([T.StructField("mark_ns", T.LongType())])
 
@@ -82,15 +98,16 @@ def split_late(
         mark = read_batches(spark, marks_path, marks, before=batch_id).agg(F.max("mark_ns")).first()[0]
         limit = F.lit(None if mark is None else mark - delay_ns).cast("bigint")
         late = F.coalesce(F.col(time_ns) < limit, F.lit(False))
-        recent = read_batches(spark, path, rows.schema, before=batch_id)
-        if mark is not None:
-            recent = recent.where(F.col(time_ns) >= mark - delay_ns)
+        since = None if mark is None else mark - delay_ns
+        recent = read_batches(spark, path, rows.schema, before=batch_id, since_ns=since)
+        if since is not None:
+            recent = recent.where(F.col(time_ns) >= since)
         rows.persist()  # three writes, one read of the source
         try:
             write_batch(rows.where(late), late_path, batch_id)
             on_time = rows.where(~late).dropDuplicates([event_id])
             fresh = on_time.join(recent.select(event_id), event_id, "left_anti").select(*rows.columns)
-            write_batch(fresh, path, batch_id)
+            write_batch(fresh, path, batch_id, time_ns)
             write_batch(rows.agg(F.max(time_ns).alias("mark_ns")).where("mark_ns IS NOT NULL"), marks_path, batch_id)
         finally:
             rows.unpersist()

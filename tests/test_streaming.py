@@ -109,3 +109,20 @@ def test_arrivals_are_registered_once(spark, tmp_path):
     sink(make("y", "z", None), 1)
     rows = sinks.read_batches(spark, path, make("x").schema).collect()
     assert sorted((str(r.checksum), r.stream_batch_id) for r in rows) == [("None", 1), ("x", 0), ("y", 0), ("z", 1)]
+
+
+def test_the_look_back_opens_only_days_behind_the_limit(spark, tmp_path):
+    day = sinks.DAY_NS
+    paths = [str(tmp_path / p) for p in ("out", "late", "marks")]
+    sink = sinks.split_late(*paths, "timestamp_ns", "event_id", day)
+    schema = events(spark, (1, 1, "")).schema
+    sink(events(spark, (1, 0, "a"), (2, 3 * day, "a"), (3, 5 * day, "a"), (4, -day - 1, "a")), 0)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["event_day=-2", "event_day=0", "event_day=3", "event_day=5"]
+    for old in (tmp_path / "out/event_day=0", tmp_path / "out/event_day=3"):
+        for file in old.rglob("*.parquet"):
+            file.write_bytes(b"unreadable")
+    for _ in range(2):
+        sink(events(spark, (3, 5 * day, "a"), (5, 4 * day, "b"), (6, 3 * day, "late"), (7, None, "no time")), 1)
+    kept = sinks.read_batches(spark, paths[0], schema, since_ns=4 * day).collect()
+    assert sorted((r.event_id, r.stream_batch_id) for r in kept) == [(3, 0), (5, 1)]
+    assert [(r.event_id, r.stream_batch_id) for r in sinks.read_batches(spark, paths[1], schema).collect()] == [(6, 1)]
