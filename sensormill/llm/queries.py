@@ -47,10 +47,10 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents selected from all: those with a high enough chance of the top grade, with their expected grade."""
+    """Expected grade and chance of the top grade of every document, and whether it is selected."""
     docs = table(spark, folder, "documents")
     scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, table(spark, folder, "labels")))
-    return scored.filter(scored.p_top >= quality.LEAST).select("doc_id", "expected_grade", "p_top")
+    return scored.select("doc_id", "expected_grade", "p_top", (scored.p_top >= quality.LEAST).alias("selected"))
 
 
 @query()
