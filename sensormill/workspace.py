@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.errors import AnalysisException
@@ -42,8 +44,36 @@ def read_if_there(spark: SparkSession, schema: T.StructType, path: str) -> DataF
         return None
 
 
+#: Paths handed out by this process, in order.
+_handed_out: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside the block are removed when it ends, also when it fails.
+
+    What the block computes must be written or collected inside it: a result that is read later would miss its tables.
+    Without such a block the tables stay in the shared folder. One block at a time and per process.
+    """
+    before = len(_handed_out)
+    try:
+        yield
+    finally:
+        for path in _handed_out[before:]:
+            _remove(spark, path)
+        del _handed_out[before:]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Through Hadoop's file systems, as Spark wrote it; a path that was never written is no trouble."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
