@@ -112,7 +112,7 @@ class GateMart:
         return self.spark.createDataFrame([], schema) if rows is None else rows
 
     def _holding(self, name: str) -> DataFrame:
-        """Rows of updates that were finished; the folders of others are not opened."""
+        """Rows of updates that were finished."""
         return self._read(name).join(self._read("updates").select(_UPDATE), _UPDATE, "left_semi")
 
     def _facts(self) -> DataFrame:

@@ -126,8 +126,9 @@ class Releases:
         rows = self._tables(self.part("commits", release_id))[name]
         current = materialise(self._marks(name, rows, depth), "current-marks")
         leaves, looked = tree.unequal_leaves(pinned, tree.nodes(current, depth), depth)
-        shelves = leaves.select(F.substring(F.concat("leaf", F.lit("-")), 1, 1).alias("shelf")).distinct()
-        then = self.part("rows", release_id).where(F.col("table_name") == name).join(shelves, "shelf", "left_semi")
+        shelf = F.substring(F.concat("leaf", F.lit("-")), 1, 1)
+        shelves = [r[0] for r in leaves.select(shelf).distinct().collect()]  # hexadecimal digits, or the one of a lone leaf
+        then = self.part("rows", release_id).where((F.col("table_name") == name) & F.col("shelf").isin(shelves))
         return tree.differing_keys(then, current, leaves), looked
 
     def problems(self, release_id: str, check_blobs: bool = True) -> DataFrame:
