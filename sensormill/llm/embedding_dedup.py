@@ -2,7 +2,8 @@
 
 1. Equal vectors are one: only distinct ones are compared, with their number of copies.
 2. Unit vectors are turned into their principal axes. The second-moment matrix is summed over all rows in Spark; only
-   that matrix, of the size of a vector squared, reaches the driver, and its axes go to the tasks.
+   that matrix, of the size of a vector squared, reaches the driver, and its axes go to the tasks. So vectors should have
+   no more than a few thousand components (2,000 make a matrix of 32 MB).
 3. Linked unit vectors are no further apart than ``sqrt(2 - 2 * threshold)``, in each coordinate too. A grid of that width
    over the first three axes makes cells; only a cell and its neighbours can be linked. Cells are dealt into tiles of
    bounded bytes, and pairs of tiles whose boxes in the leading axes lie further apart are dropped.
