@@ -23,10 +23,15 @@ from sensormill.workspace import materialise, spread
 
 SPLIT = 64 << 20
 BLOCK = 4 << 20
+#: What is read at first behind the end of a range, where mostly little is missing; each further block is twice as long.
+TAIL = 4 << 10
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
 
 _QUOTE, _BACKSLASH, _COMMA = 34, 92, 44
 _OPEN, _CLOSE = (91, 123), (93, 125)
+#: Bytes that can change the state or the depth, or border an element.
+_MARKS = np.zeros(256, dtype=bool)
+_MARKS[[_QUOTE, _COMMA, *_OPEN, *_CLOSE]] = True
 
 
 class Scan:
@@ -40,37 +45,44 @@ class Scan:
         content = np.frombuffer(data, dtype=np.uint8)
         if not len(content):
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), content
+        at = np.flatnonzero(_MARKS[content])
+        marks = content[at]
+        quotes = marks == _QUOTE
         slashes = np.flatnonzero(content == _BACKSLASH)
-        skipped = np.zeros(len(content), dtype=bool)
+        dangling = False
         if self.state == ESCAPED:
-            skipped[0] = True
+            quotes[at == 0] = False
             slashes = slashes[slashes != 0]
-        dangling = False
         if len(slashes):
             # Of each run of backslashes every other one is escaped, and what follows a run of odd length.
             first = np.flatnonzero(np.r_[True, np.diff(slashes) != 1])
             length = np.diff(np.r_[first, len(slashes)])
-            behind = slashes[first] + length
-            odd = behind[length % 2 == 1]
+            odd = (slashes[first] + length)[length % 2 == 1]
             dangling = bool(len(odd)) and odd[-1] == len(content)
-            skipped[odd[odd < len(content)]] = True
-        quotes = (content == _QUOTE) & ~skipped
+            quotes &= ~np.isin(at, odd)
         inside = (np.cumsum(quotes) + (self.state != OUTSIDE)) % 2 == 1
-        opens = np.isin(content, _OPEN) & ~inside
-        closes = np.isin(content, _CLOSE) & ~inside
+        opens = np.isin(marks, _OPEN) & ~inside
+        closes = np.isin(marks, _CLOSE) & ~inside
         depth = self.depth + np.cumsum(opens.astype(np.int64) - closes.astype(np.int64))
-        self.state = (ESCAPED if dangling else INSIDE) if inside[-1] else OUTSIDE
-        self.depth = int(depth[-1])
-        at = np.flatnonzero(opens | closes | ((content == _COMMA) & ~inside))
-        return at, depth[at], content[at]
+        ends_inside = bool(inside[-1]) if len(at) else self.state != OUTSIDE
+        self.state = (ESCAPED if dangling else INSIDE) if ends_inside else OUTSIDE
+        self.depth = int(depth[-1]) if len(at) else self.depth
+        borders = opens | closes | ((marks == _COMMA) & ~inside)
+        return at[borders], depth[borders], marks[borders]
 
 
-def _blocks(path: str, begin: int, end: int) -> Iterator[tuple[int, bytes]]:
+def _blocks(path: str, begin: int, end: int, border: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """The bytes block by block. One ends at ``border``, and those behind it are short at first."""
     system, name, _ = locate(path)
+    border, step = end if border is None else border, TAIL
     with system.open_input_file(name) as file:
         at = begin
         while at < end:
-            data = file.read_at(min(BLOCK, end - at), at)
+            if at < border:
+                size = min(BLOCK, border - at)
+            else:
+                size, step = min(BLOCK, step, end - at), step * 2
+            data = file.read_at(size, at)
             if not data:
                 return
             yield at, data
@@ -105,7 +117,7 @@ def elements_of(path: str, begin: int, end: int, byte_size: int, state: int, dep
     """The elements of the array whose leading bracket or comma lies in the range."""
     scan = Scan(state, depth)
     held: list[bytes] | None = None  # what is known of the current element
-    for at, data in _blocks(path, begin, byte_size):
+    for at, data in _blocks(path, begin, byte_size, end):
         places, depths, marks = scan.block(data)
         borders = ((marks == _COMMA) & (depths == 1)) | (np.isin(marks, _OPEN) & (depths == 1)) | (np.isin(marks, _CLOSE) & (depths == 0))
         last = 0

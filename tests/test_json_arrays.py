@@ -44,6 +44,25 @@ def test_any_ranges_give_the_same_elements(tmp_path, monkeypatch, seed):
         assert found == values
 
 
+def test_ranges_read_little_more_than_themselves(tmp_path, monkeypatch):
+    text = json.dumps([{"id": i, "text": "a, [b" * 20} for i in range(5000)]).encode()
+    path, read, blocks, split = tmp_path / "a.json", [], json_arrays._blocks, 1 << 14
+    path.write_bytes(text)
+
+    def counted(*args):
+        for at, data in blocks(*args):
+            read.append(len(data))
+            yield at, data
+
+    monkeypatch.setattr(json_arrays, "_blocks", counted)
+    found = 0
+    for begin in range(0, len(text), split):
+        scan = Scan(0)
+        scan.block(text[:begin])
+        found += sum(1 for _ in elements_of(str(path), begin, min(begin + split, len(text)), len(text), scan.state, scan.depth))
+    assert found == 5000 and sum(read) < 1.5 * len(text)
+
+
 def test_states_compose_from_any_beginning():
     rng = random.Random(9)
     text = json.dumps([_value(rng) for _ in range(40)]).encode()
