@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormill.schemas import LIDAR, conform, table_schema
-from sensormill.sources.json_arrays import SPLIT, read_array
+from sensormill.sources.json_arrays import SPLIT, array_files, json_elements
+from sensormill.streaming.replay import parsed_envelopes
+from sensormill.workspace import materialise
 
 # Names and fields of the files of this layout that are read.
 FILES = {
@@ -30,16 +32,18 @@ FILES = {
 
 
 def read_scenes(spark: SparkSession, root: str, split: int = SPLIT) -> dict[str, DataFrame]:
-    """The rows of every file. A file with an element that does not fit its fields is refused."""
-    return {name: _whole(read_array(spark, f"{root}/{name}.json", ddl, split)) for name, ddl in FILES.items()}
+    """The rows of every file, cut and parsed once and kept. A file with an element that does not fit its fields is refused."""
+    return {name: _whole(json_elements(array_files(spark, f"{root}/{name}.json"), split), name, ddl) for name, ddl in FILES.items()}
 
 
-def _whole(parsed: tuple[DataFrame, DataFrame]) -> DataFrame:
-    rows, dead = parsed
-    bad = dead.select("path", F.substring("raw", 1, 200).alias("raw")).first()
+def _whole(elements: DataFrame, name: str, ddl: str) -> DataFrame:
+    parsed = parsed_envelopes(elements, "element", ddl)
+    raw = F.when(F.col("_dead"), F.struct("path", F.substring("element", 1, 200).alias("raw"))).alias("_raw")
+    kept = materialise(parsed.select("_e.*", raw), f"scene-{name}")
+    bad = kept.agg(F.min("_raw").alias("bad")).first().bad
     if bad is not None:
         raise ValueError(f"{bad.path} holds an element that does not fit: {bad.raw}")
-    return rows.drop("path")
+    return kept.drop("_raw", "_corrupt_record")
 
 
 def _pose(rotation: Column, translation: Column) -> list[Column]:

@@ -39,16 +39,21 @@ def window_counts(stream: DataFrame, time: str, keys: Sequence[str], width: str,
     return counted.select(start_ns.alias("window_ns"), *keys, "n_events")
 
 
-def parse_envelopes(df: DataFrame, column: str, ddl: str) -> tuple[DataFrame, DataFrame]:
-    """(envelopes with their fields, dead letters with the raw text). Truncated and mistyped JSON are dead letters."""
+def parsed_envelopes(df: DataFrame, column: str, ddl: str) -> DataFrame:
+    """The rows with ``_e``, their parsed envelope, and ``_dead``: truncated and mistyped JSON are dead letters."""
     schema = f"{ddl}, _corrupt_record STRING"
     parsed = df.withColumn(
         "_e", F.from_json(F.col(column), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     )
-    dead = F.col("_e").isNull() | F.col("_e._corrupt_record").isNotNull()
+    return parsed.withColumn("_dead", F.col("_e").isNull() | F.col("_e._corrupt_record").isNotNull())
+
+
+def parse_envelopes(df: DataFrame, column: str, ddl: str) -> tuple[DataFrame, DataFrame]:
+    """(envelopes with their fields, dead letters with the raw text). Truncated and mistyped JSON are dead letters."""
+    parsed = parsed_envelopes(df, column, ddl)
     others = [c for c in df.columns if c != column]
-    good = parsed.where(~dead).select(*others, "_e.*").drop("_corrupt_record")
-    return good, parsed.where(dead).select(*others, F.col(column).alias("raw"), F.lit("malformed").alias("reason"))
+    good = parsed.where("NOT _dead").select(*others, "_e.*").drop("_corrupt_record")
+    return good, parsed.where("_dead").select(*others, F.col(column).alias("raw"), F.lit("malformed").alias("reason"))
 
 
 def equivalence(batch: DataFrame, streamed: DataFrame, columns: Sequence[str]) -> DataFrame:

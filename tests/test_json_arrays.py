@@ -12,6 +12,7 @@ from sensormill.plans.scenes import ingest_scenes, reconcile_scenes
 from sensormill.plans.store import ParquetStore
 from sensormill.sources import json_arrays
 from sensormill.sources.json_arrays import Scan, array_files, elements_of, json_elements, read_array
+from sensormill.sources.json_scenes import read_scenes
 
 
 def _value(rng, depth=0):
@@ -125,6 +126,22 @@ def _scenes(folder, frames=2, name="scene-0001"):
         (folder / f"CAM/{i}.jpg").write_bytes(b"frame %d" % i)
 
 
+def test_scene_files_are_cut_once(spark, tmp_path):
+    root = tmp_path / "root"
+    _scenes(root, frames=3)
+    found = read_scenes(spark, str(root), split=64)
+    for file in root.glob("*.json"):
+        file.unlink()
+    assert {name: rows.count() for name, rows in found.items()}["sample_data"] == 4 and "_corrupt_record" not in found["scene"].columns
+    _scenes(root)
+    (root / "sensor.json").write_text('[{"token": "s1"}, {"token": "s2", "channel": [')
+    with pytest.raises(Exception, match="ends inside"):
+        read_scenes(spark, str(root), split=64)
+    (root / "sensor.json").write_text('[{"token": "s1"}, 7]')
+    with pytest.raises(ValueError, match="does not fit: 7"):
+        read_scenes(spark, str(root), split=64)
+
+
 def _actions(result):
     return {r.log_id: r.action for r in result.logs.collect()}
 
