@@ -30,8 +30,7 @@ from sensormill.workspace import materialise
 
 def scene_tables(spark, root: str, split: int = SPLIT) -> dict[str, DataFrame]:
     """The canonical tables of all scenes, with size and checksum of every payload that is there."""
-    files = {name: materialise(rows, f"scene-{name}") for name, rows in read_scenes(spark, root, split).items()}
-    tables = canonical_scenes(files, "")
+    tables = canonical_scenes(read_scenes(spark, root, split), "")
     at = F.concat(F.lit(root.rstrip("/") + "/"), F.col("source_path"))
     rows = materialise(tables["sensor_data"].withColumn("source_path", at), "scene-rows")
     found = probe_files(rows.select("source_path").distinct())
@@ -67,9 +66,9 @@ def ingest_scenes(store, root: str, transform_version: str, split: int = SPLIT)
     marked = {"is_new": F.col("commit_id").isNull(), "commit_id": F.coalesce("commit_id", _commit_id(run))}
     planned = materialise(found.withColumns(marked), "planned-scenes")
     fresh = planned.where("is_new").select("log_id", F.col("commit_id").alias("ingest_commit_id"))
-    written = {}
-    for name, rows in tables.items():
-        written[name] = store.append(name, rows.drop("ingest_commit_id").join(fresh, "log_id"), append_id) if not fresh.isEmpty() else 0
+    written = dict.fromkeys(tables, 0)
+    if not fresh.isEmpty():
+        written = {name: store.append(name, rows.drop("ingest_commit_id").join(fresh, "log_id"), append_id) for name, rows in tables.items()}
     recorded = record(store, planned, append_id, written).select("log_id", F.lit(True).alias("_recorded"))
     action = F.when(F.col("is_new"), "committed").when(F.col("_recorded"), "reactivated").otherwise("unchanged")
     done = planned.join(recorded, "log_id", "left").select("log_id", "commit_id", action.alias("action"))
