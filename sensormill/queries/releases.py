@@ -10,7 +10,7 @@ from sensormill.operators import blobs, releases, tree
 from sensormill.queries.encodings import _LANES, _float, _int, _row, _text
 from sensormill.queries.registry import EVENT_FRAMES_SQL, event_frames, query, table
 from sensormill.queries.timelines import DAY_NS
-from sensormill.workspace import fresh_path, materialise
+from sensormill.workspace import fresh_path, materialise, write_unsorted
 
 
 def _references(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +98,7 @@ def table_file_health(spark: SparkSession, folder: str) -> DataFrame:
     """Files and rows of a table laid out with one file per flag and status."""
     path, parts = fresh_path(spark, "laid-out"), ["l_returnflag", "l_linestatus"]
     rows = table(spark, folder, "lineitem")
-    rows.repartition(*parts).write.partitionBy(*parts).parquet(path)
+    write_unsorted(rows.repartition(*parts), path, parts)
     return blobs.file_health(spark.read.parquet(path)).select("n_files", "n_rows")
 
 

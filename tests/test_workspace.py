@@ -1,11 +1,13 @@
 """Intermediate tables go when their block ends."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from sensormill import workspace
 from sensormill.operators.sweeps import capture_intervals
-from sensormill.workspace import materialise, scratch
+from sensormill.queries.releases import table_file_health
+from sensormill.workspace import materialise, scratch, write_unsorted
 
 
 @pytest.fixture
@@ -32,3 +34,22 @@ def test_nothing_is_left_after_a_failure(spark, shared):
         with scratch(spark):
             materialise(spark.range(3), "inner")
         assert list(shared.iterdir()) == []
+
+
+def test_laying_out_a_table_opens_its_files_at_once(spark, tmp_path, monkeypatch):
+    """A task that holds a large folder would sort all of it first."""
+    rows = [(i, "NRA"[i % 3], "OF"[i % 2]) for i in range(600)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(name, None)
+
+    def watched(self, path, *args, **kwargs):
+        seen.append(spark.conf.get(name, None))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    assert table_file_health(spark, str(tmp_path)).first() == (6, 600)
+    assert [int(n or 0) > 1 for n in seen] == [True] and spark.conf.get(name, None) == before
+    with pytest.raises(Exception, match="(?i)exists"):
+        write_unsorted(spark.range(1).withColumn("k", F.lit(1)), f"{tmp_path}/lineitem.parquet", ["k"])
+    assert spark.conf.get(name, None) == before
