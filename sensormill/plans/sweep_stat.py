@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensormill.operators.joins import last_per_key
 from sensormill.operators.sweeps import sweep_stats
+from sensormill.workspace import materialise
 
 TABLE = "sweep_stat"
 DDL = "log_id STRING, sensor STRING, sweep_ns BIGINT, metric STRING, value DOUBLE, check_version STRING"
@@ -36,8 +36,12 @@ def current(store) -> DataFrame:
         "_check": F.regexp_extract("check_version", "^(.*)-[0-9]+$", 1),
         "_number": F.regexp_extract("check_version", "-([0-9]+)$", 1).try_cast("bigint"),
     }
-    rows = rows.withColumns(parts)
-    newest = rows.groupBy("log_id", "_check").agg(F.max(F.struct("_number", "append_id")).alias("_top"))
+    # What is newest is a matter of logs, versions and appends: few beside the rows.
+    seen = materialise(rows.select("log_id", "check_version", "append_id").distinct().withColumns(parts), "recorded-versions")
+    newest = seen.groupBy("log_id", "_check").agg(F.max(F.struct("_number", "append_id")).alias("_top"))
     newest = newest.select("log_id", "_check", F.col("_top._number").alias("_number"), F.col("_top.append_id").alias("append_id"))
-    kept = rows.join(newest, ["log_id", "_check", "_number", "append_id"], "left_semi")
-    return last_per_key(kept, [*IDS, "metric", "check_version"], ["append_id"]).select(*IDS, "metric", "value", "check_version")
+    chosen = seen.join(newest, ["log_id", "_check", "_number", "append_id"], "left_semi").select("log_id", "check_version", "append_id")
+    kept = rows.join(chosen, ["log_id", "check_version", "append_id"], "left_semi")
+    # All that is left of a key came with one append; of a key that came twice with it the greater value stays.
+    keys = [*IDS, "metric", "check_version"]
+    return kept.groupBy(*keys).agg(F.max("value").alias("value")).select(*IDS, "metric", "value", "check_version")

@@ -8,13 +8,13 @@ from pyspark.sql import types as T
 
 from sensormill.operators.nearest import skew_distribution
 from sensormill.operators.ordered import quantiles
-from sensormill.operators.sweeps import laser_returns, pose_continuity, pose_steps, returns_spread
+from sensormill.operators.sweeps import laser_returns, pose_continuity, returns_spread
 from sensormill.plans import sweep_stat
 from sensormill.plans.store import ParquetStore
 from sensormill.queries import scenes, timelines
 from sensormill.queries.registry import EVENT_FRAMES_SQL, ORACLES, event_frames, query
 from sensormill.queries.timelines import DAY_NS, HOUR_NS
-from sensormill.workspace import fresh_path
+from sensormill.workspace import fresh_path, materialise
 
 _METRICS = {
     "returns-1": ("n_returns", "history_std", "deviating"),
@@ -74,10 +74,11 @@ def sweep_stat_table(spark: SparkSession, folder: str) -> DataFrame:
     }
     store = ParquetStore(spark, fresh_path(spark, "stats"), {sweep_stat.TABLE: T.StructType.fromDDL(sweep_stat.DDL)})
     store.ensure_tables()
-    first = {"pose-1": (timelines._continuity(spark, folder), _POSE["pose-1"])}
+    # The steps serve both versions, and the first one is recorded twice.
+    steps = materialise(timelines._steps(spark, folder).select("log_id", "step_ns", "distance_m", "angle_rad"), "pose-steps")
+    first = {"pose-1": (materialise(timelines._first_check(steps), "pose-check"), _POSE["pose-1"])}
     sweep_stat.record(store, {version: (df, _METRICS[version]) for version, df in measured.items()} | first, 10)
-    steps = pose_steps(timelines._poses(spark, folder), payload_ties=["event_id"]).where(_AGAIN)
-    second = pose_continuity(steps, max_step_ns=6 * HOUR_NS, max_distance_m=50.5, max_angle_rad=0.305)
+    second = pose_continuity(steps.where(_AGAIN), max_step_ns=6 * HOUR_NS, max_distance_m=50.5, max_angle_rad=0.305)
     sweep_stat.record(store, {"pose-2": (second, _POSE["pose-2"])}, 20)
     sweep_stat.record(store, first, 30)  # late news of the old version change nothing where there is a newer one
     return sweep_stat.current(store)

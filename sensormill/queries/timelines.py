@@ -164,7 +164,14 @@ def pose_step_measures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _continuity(spark: SparkSession, folder: str) -> DataFrame:
-    steps = pose_steps(_poses(spark, folder), payload_ties=["event_id"])
+    return _first_check(_steps(spark, folder))
+
+
+def _steps(spark: SparkSession, folder: str) -> DataFrame:
+    return pose_steps(_poses(spark, folder), payload_ties=["event_id"])
+
+
+def _first_check(steps: DataFrame) -> DataFrame:
     return pose_continuity(steps, max_step_ns=12 * HOUR_NS, max_distance_m=50.5, max_angle_rad=0.505)
 
 
