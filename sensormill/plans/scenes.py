@@ -34,7 +34,7 @@ def scene_tables(spark, root: str, split: int = SPLIT) -> dict[str, DataFrame]:
     at = F.concat(F.lit(root.rstrip("/") + "/"), F.col("source_path"))
     rows = materialise(tables["sensor_data"].withColumn("source_path", at), "scene-rows")
     found = probe_files(rows.select("source_path").distinct())
-    sized = rows.drop("byte_size", "checksum").join(found, "source_path", "left")
+    sized = rows.drop("byte_size", "checksum").join(found.hint("merge"), "source_path", "left")  # a row per payload: never broadcast
     tables["sensor_data"] = sized.select(*rows.columns)
     return {name: materialise(table, f"scene-table-{name}") for name, table in tables.items()}
 

@@ -53,10 +53,14 @@ def _pose(rotation: Column, translation: Column) -> list[Column]:
 
 
 def canonical_scenes(files: dict[str, DataFrame], commit_id: str) -> dict[str, DataFrame]:
-    """The canonical tables of all scenes; a scene is a log."""
+    """The canonical tables of all scenes; a scene is a log.
+
+    Samples, poses and instances grow with the rows and are merged. By the size of its compressed file Spark would take a
+    table for small that is many times as large in memory, and gather it in the driver to broadcast it.
+    """
     scenes = files["scene"].select(F.col("token").alias("scene_token"), F.col("name").alias("log_id"))
     samples = files["sample"].select(F.col("token").alias("sample_token"), "scene_token", F.col("timestamp").alias("sample_us"))
-    located = samples.join(scenes, "scene_token").select("sample_token", "log_id", "sample_us")
+    located = samples.join(scenes, "scene_token").select("sample_token", "log_id", "sample_us").hint("merge")
     sensors = files["sensor"].select(F.col("token").alias("sensor_token"), "channel", "modality")
     mounted = files["calibrated_sensor"].join(sensors, "sensor_token").withColumnRenamed("token", "calibrated_sensor_token")
     name = F.when(F.col("modality") == LIDAR, F.lit(LIDAR)).otherwise(F.lower("channel"))
@@ -86,11 +90,11 @@ def canonical_scenes(files: dict[str, DataFrame], commit_id: str) -> dict[str, D
         cell(1, 2).alias("cy_px"),
         commit,
     )
-    poses = data.select("log_id", F.col("ego_pose_token").alias("token")).distinct().join(files["ego_pose"], "token")
+    poses = data.select("log_id", F.col("ego_pose_token").alias("token")).distinct().join(files["ego_pose"].hint("merge"), "token")
     category = files["instance"].join(
         files["category"].select(F.col("token").alias("category_token"), F.col("name").alias("category")), "category_token"
     ).select(F.col("token").alias("instance_token"), "category")
-    boxes = files["sample_annotation"].join(located, "sample_token").join(category, "instance_token", "left")
+    boxes = files["sample_annotation"].join(located, "sample_token").join(category.hint("merge"), "instance_token", "left")
     track = boxes.select(
         "log_id",
         (F.col("sample_us") * 1000).alias("timestamp_ns"),

@@ -83,7 +83,10 @@ def sensor_counts(keys: DataFrame) -> DataFrame:
 
 
 def scene_keys(spark: SparkSession, root: str) -> DataFrame:
-    """One row per frame of the second layout, straight from its files and without the transform or its reader."""
+    """One row per frame of the second layout, straight from its files and without the transform or its reader.
+
+    Samples grow with the frames, so they are merged and never broadcast.
+    """
 
     def rows(name: str, ddl: str) -> DataFrame:
         return spark.read.schema(ddl).option("multiLine", "true").json(f"{root}/{name}.json")
@@ -93,6 +96,6 @@ def scene_keys(spark: SparkSession, root: str) -> DataFrame:
     mounted = rows("calibrated_sensor", "token STRING, sensor_token STRING").select(F.col("token").alias("calibrated_sensor_token"), "sensor_token")
     sensors = rows("sensor", "token STRING, channel STRING, modality STRING").select(F.col("token").alias("sensor_token"), "channel", "modality")
     data = rows("sample_data", "sample_token STRING, calibrated_sensor_token STRING, timestamp BIGINT")
-    joined = data.join(samples, "sample_token").join(scenes, "scene_token").join(mounted, "calibrated_sensor_token").join(sensors, "sensor_token")
+    joined = data.join(samples.hint("merge"), "sample_token").join(scenes, "scene_token").join(mounted, "calibrated_sensor_token").join(sensors, "sensor_token")
     sensor = F.when(F.col("modality") == "lidar", "lidar").otherwise(F.lower("channel"))
     return joined.select("log_id", sensor.alias("sensor"), (F.col("timestamp") * 1000).alias("timestamp_ns"))

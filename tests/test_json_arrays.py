@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from sensormill.operators import ledger as ledgers
 from sensormill.plans.reconcile import active_rows
-from sensormill.plans.scenes import ingest_scenes, reconcile_scenes
+from sensormill.plans.scenes import ingest_scenes, reconcile_scenes, scene_tables
 from sensormill.plans.store import ParquetStore
 from sensormill.sources import json_arrays
 from sensormill.sources.json_arrays import Scan, array_files, elements_of, json_elements, read_array
 from sensormill.sources.json_scenes import read_scenes
+from sensormill.sources.keys import scene_keys
+from sensormill.workspace import materialise, spread
 
 
 def _value(rng, depth=0):
@@ -173,3 +175,34 @@ def test_scenes_come_in_once_and_go_back(spark, tmp_path):
     _scenes(root, frames=3)
     report = reconcile_scenes(store, str(root)).where("log_id = 'scene-0001'").first()
     assert (report.missing, report.status) == (1, "incomplete")
+
+
+def _broadcast(df):
+    """Names of all columns that the joins of a plan would gather in the driver, to broadcast them."""
+    nodes, names = [df._jdf.queryExecution().sparkPlan()], set()
+    while nodes:
+        node = nodes.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "BroadcastHashJoin":
+            side = node.left() if "Left" in node.buildSide().toString() else node.right()
+            names |= {side.output().apply(i).name() for i in range(side.output().size())}
+        nodes += children
+    return names
+
+
+def test_what_grows_with_the_frames_is_not_broadcast(spark, tmp_path, monkeypatch):
+    root, sized = tmp_path / "root", []
+    _scenes(root, frames=3)
+    monkeypatch.setattr("sensormill.plans.scenes.materialise", lambda df, label: sized.append(df) or materialise(df, label))
+    tables = scene_tables(spark, str(root), split=64)
+    assert tables["sensor_data"].count() == 4 and len(sized) == 6
+    grows = {"sample_token", "instance_token", "timestamp", "source_path"}
+    for df in [*sized, scene_keys(spark, str(root))]:
+        assert not _broadcast(df) & grows
+    assert _broadcast(scene_keys(spark, str(root)))  # sensors still are
+
+
+def test_work_is_spread_although_rows_come_from_a_grouping(spark):
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    paths = spark.range(1000).select(F.concat(F.lit("p"), "id").alias("path"))
+    assert spread(paths.distinct(), "path").select(F.spark_partition_id().alias("n")).distinct().count() == slots
