@@ -11,6 +11,8 @@ from sensormill.operators.episodes import episodes, overlapping
 from sensormill.operators.motion import pose_at
 from sensormill.operators.ordered import with_neighbours, with_running_sum
 from sensormill.operators.sweeps import in_world
+from sensormill.queries import scenes
+from sensormill.workspace import materialise
 
 BIG = (1 << 62) + 5
 
@@ -123,3 +125,13 @@ def test_poses_lie_on_the_arc_between_their_neighbours(spark):
     assert (rows["half"].tx_m, rows["half"].tz_m, rows["after"].tx_m) == (5.0, 2.0, None)
     world = in_world(placed.withColumns({"x": F.lit(1.0), "y": F.lit(0.0), "z": F.lit(0.0)})).where("name = 'half'").first()
     assert (round(world.wx, 6), round(world.wy, 6), round(world.wz, 6)) == (round(5 + math.sqrt(0.5), 6), round(math.sqrt(0.5), 6), 2.0)
+
+
+def test_only_what_turns_are_found_by_is_written(spark, tmp_path, monkeypatch):
+    rows = [(i, f"2024-01-0{1 + i % 7} 00:00:00", i % 3, "view", float(i), f'{{"k": {i % 50}}}') for i in range(60)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    written = []
+    monkeypatch.setattr("sensormill.operators.ordered.materialise", lambda df, label: written.append(df.columns) or materialise(df, label))
+    assert scenes._turns(spark, str(tmp_path)).count() > 0
+    assert "timestamp_ns" in written[0] and not {"event_id", "category", "tx_m", "ty_m"} & {c for columns in written for c in columns}
