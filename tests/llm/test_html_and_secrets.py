@@ -76,6 +76,25 @@ def test_furniture_beside_a_story_still_goes():
     assert html_tree.main_text(f"<article><p>{STORY}</p></article><div class=related><article>Card</article></div>", {}) == STORY.strip()
 
 
+@pytest.mark.parametrize("page", [
+    "<article><p>one</p><p hidden>two</p><p>three</article>", "<article><p>one<div style='display: none'><p>two</p></div><p>three</article>",
+    "<article><p>one</p><section aria-hidden=true><p>two</p></section><p>three</article>", "<article><p>one<p><object data=x>two</object><p>three</article>",
+    "<article><p>one<p><svg><title>icon</title><text>two</text></svg><p>three</article>", "<article><p>one<p><canvas>two</canvas><p>three</article>",
+    "<body hidden><article><p>one<p>two<p>three</article>", "<div id=app style='display:none'><main><p>one<p>two<p>three</main></div><nav>n</nav>",
+    "<div hidden><div><p>one<p>two<p>three</div></div><div hidden>four</div>",
+])
+def test_nothing_else_is_dropped(spark, page):
+    """Hidden text and text of graphics are none of what an article goes without."""
+    found = html_tree.extract(spark.createDataFrame([(1, "http://h.com/", page, "", 0)], PAGES)).first()
+    assert found.text == "one\ntwo\nthree" and found.n_chars == 13
+
+
+def test_hidden_pieces_beside_a_story_go():
+    assert html_tree.main_text(f"<article><p>{STORY}</p></article><div hidden>Sign in</div>", {}) == STORY.strip()
+    assert html_tree.main_text(f"<p>{STORY}</p><div aria-hidden=true>Sign in</div>", {}) == STORY.strip()
+    assert html_tree.main_text(f"<article><p>{STORY}</p><div class=ad hidden>Buy</div></article>", {}) == STORY.strip()
+
+
 def test_copies_of_an_article_stay(spark):
     rows = [(i, "http://h.com/", "<article><p>copied text</p></article>", "", 0) for i in range(30)]
     assert {r.text for r in html_tree.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"copied text"}
